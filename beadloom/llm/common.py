@@ -69,3 +69,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             size += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def sampled(df: DataFrame, share: Column | float, *keys: str, seed: int = 11) -> DataFrame:
+    """Rows picked by a hash of the keys, each with the given probability; the same rows at every run."""
+    span = 1 << 30
+    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(span)) < (share if isinstance(share, Column) else F.lit(share)) * span)
