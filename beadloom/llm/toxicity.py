@@ -20,9 +20,10 @@ TRAIN_TOXIC = 2500
 TRAIN_UNLABELLED = 6000
 TRAIN_CHARS = 40_000
 #: Word beginnings of these lengths are features beside whole words.
-STEMS = (4, 5, 6)
-#: A feature is picked if this many toxic documents at least have it, and it is this many times as frequent in them.
-LEAST, TIMES = 6, 3.0
+STEMS = (4, 5, 6, 7, 8)
+#: A feature is picked if this many toxic documents at least have it, it is this many times as frequent in them, and
+#: their number lies this many standard deviations above what the unlabelled sample lets expect.
+LEAST, TIMES, DEVIATIONS = 6, 3.0, 6.0
 FEATURES = 4000
 THRESHOLD = 0.3
 
@@ -40,12 +41,13 @@ def features(word: str) -> list[str]:
     return ["w:" + word, *("s:" + word[:n] for n in STEMS if len(word) > n)]
 
 
-def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], width: int, prior: float, steps: int = 400, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], width: int, prior: float, steps: int = 600, rate: float = 0.05, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """(weights, bias) of a logistic classifier by the non-negative estimator of the risk.
 
     x_p, x_u: numbers of the features that each positive and unlabelled document has. Risk: prior * E_p[l(g)] +
     max(0, E_u[l(-g)] - prior * E_p[l(-g)]), with the logistic loss l. Where the second part is negative, which only
-    overfitting can cause, the step goes against it. Full batches, Adam.
+    overfitting can cause, the step goes against it. Full batches, Adam; the last third of the steps is averaged. At
+    last the bias is moved so that the mean score of the unlabelled documents equals the prior.
     """
     def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -53,6 +55,7 @@ def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], width: int, prior: float,
     (f_p, r_p), (f_u, r_u) = flat(x_p), flat(x_u)
     w, b = np.zeros(width), 0.0
     m, v = np.zeros(width + 1), np.zeros(width + 1)
+    mean, last = np.zeros(width), steps - steps // 3
     for t in range(1, steps + 1):
         g_p = np.bincount(r_p, w[f_p], len(x_p)) + b
         g_u = np.bincount(r_u, w[f_u], len(x_u)) + b
@@ -65,7 +68,14 @@ def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], width: int, prior: float,
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
-    return w, float(b)
+        if t > last:
+            mean += w / (steps - last)
+    g_u = np.bincount(r_u, mean[f_u], len(x_u))
+    low, high = -50.0, 50.0
+    for _ in range(60):
+        b = (low + high) / 2
+        low, high = (b, high) if (1 / (1 + np.exp(-(g_u + b)))).mean() < prior else (low, b)
+    return mean, float(b)
 
 
 def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model | None:
@@ -84,8 +94,9 @@ def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model | None
     often = {f for f, n in in_toxic.items() if n >= min(LEAST, max(1, len(toxic) // 3))}
     rest = [found(t) & often for t in unlabelled]
     in_rest = Counter(f for r in rest for f in r)
-    ratio = {f: (in_toxic[f] / len(toxic)) / ((in_rest[f] + 0.5) / len(unlabelled)) for f in often}
-    names = sorted((f for f in often if ratio[f] >= TIMES), key=lambda f: (-in_toxic[f], f))[:FEATURES]
+    expected = {f: len(toxic) * (in_rest[f] + 0.5) / len(unlabelled) for f in often}
+    sure = (f for f in often if in_toxic[f] >= max(TIMES * expected[f], expected[f] + DEVIATIONS * (1 + expected[f]) ** 0.5))
+    names = sorted(sure, key=lambda f: (-in_toxic[f], f))[:FEATURES]
     number = {f: k for k, f in enumerate(names)}
     pick = lambda r: np.array(sorted(number[f] for f in r if f in number), np.int64)
     w, b = nnpu([pick(found(t)) for t in toxic], [pick(r) for r in rest], len(names), prior)
