@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beadloom.llm import language, media, packing, quality, topk, toxicity, url_filter
+from beadloom.llm import jaccard, language, media, packing, quality, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": language.op1_language_id,
+        "op2_jaccard_join": jaccard.op2_jaccard_join,
         "op3_toxicity": toxicity.op3_toxicity,
         "op5_quality_classifier": quality.op5_quality_classifier,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
