@@ -62,10 +62,10 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(rolled[a : b - n + 1]))
         elif b > a:
-            short = np.uint64(b - a)
+            short = np.array([b - a], np.uint64)
             for k in range(a, b):
-                short = words.mix(np.array([short ^ h[k]]))[0] * np.uint64(0xD6E8FEB86659FD93)
-            out.append(words.mix(np.array([short])))
+                short = words.mix((short ^ h[k : k + 1]) * np.uint64(0xD6E8FEB86659FD93))
+            out.append(short)
         else:
             out.append(np.empty(0, np.uint64))
     return out
@@ -295,3 +295,15 @@ def one_of_each(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(read(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT p.x, p.y FROM p JOIN n a ON a.doc_id = p.x JOIN n b ON b.doc_id = p.y WHERE 100 * p.o >= 85 * (a.n + b.n - p.o)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.x, r.c FROM r JOIN e ON e.y = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

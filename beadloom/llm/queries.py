@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": mixing.OP4_SQL, "op6_line_dedup": line_dedup.OP6_SQL, "op9_exact_top_k": topk.OP9_SQL, "op10_url_filter": url_filter.OP10_SQL}
+    return {"op2_jaccard_join": jaccard.OP2_SQL, "op4_source_mixing": mixing.OP4_SQL, "op6_line_dedup": line_dedup.OP6_SQL, "op9_exact_top_k": topk.OP9_SQL, "op10_url_filter": url_filter.OP10_SQL}
