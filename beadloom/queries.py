@@ -1,11 +1,684 @@
-"""Queries over the test tables, one for each operator, and equivalent SQL."""
+"""Queries over the test tables, at least one for each operator, and SQL that gives the same rows.
+
+The tables hold no DNA, so barcodes are derived from keys: lineitem stands for reads, with supplier as cell, part as bead
+and order as molecule.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from beadloom.functions import alignment, dna, text
+from beadloom.operators import bookkeeping, cells, cluster, demux, geometry, graph, reads, stats, variants
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _kmer(key: str, length: int) -> str:
+    """SQL for dna.kmer()."""
+    return f"array_to_string(list_transform(range(0, {length}), lambda i: substr('ACTG', CAST((((CAST({key} AS BIGINT) * 2654435761) % {4**length}) >> CAST(2 * i AS INTEGER)) % 4 AS INTEGER) + 1, 1)), '')"
+
+
+def _off(seq: str, other: str, length: int) -> str:
+    """SQL for dna.hamming()."""
+    return f"CAST(list_sum(list_transform(range(1, {length + 1}), lambda i: CASE WHEN substr({seq}, CAST(i AS INTEGER), 1) <> substr({other}, CAST(i AS INTEGER), 1) THEN 1 ELSE 0 END)) AS INTEGER)"
+
+
+def _most(seq: str) -> str:
+    return "greatest(" + ", ".join(f"length({seq}) - length(replace({seq}, '{b}', ''))" for b in "ACGTN") + ")"
+
+
+def _umis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cb, umi, sb, reads) with repeated rows of lineitem as reads of one molecule."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cb"), F.col("l_orderkey").alias("umi"), F.col("l_partkey").alias("sb"), "l_linenumber")
+    return li.groupBy("cb", "umi", "sb").agg(F.sum("l_linenumber").cast("bigint").alias("reads"))
+
+
+_UMIS = "u AS (SELECT l_suppkey AS cb, l_orderkey AS umi, l_partkey AS sb, CAST(sum(l_linenumber) AS BIGINT) AS reads FROM lineitem GROUP BY ALL)"
+_BEADS = "b AS (SELECT p_partkey AS sb, CAST((p_partkey * 7919) % 1000 AS DOUBLE) AS x, CAST((p_partkey * 104729) % 1000 AS DOUBLE) AS y FROM part)"
+
+
+def _beads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(k.alias("sb"), (k * 7919 % 1000).cast("double").alias("x"), (k * 104729 % 1000).cast("double").alias("y"))
+
+
+# --- bases ---
+
+
+@query(f"SELECT p_partkey, {_kmer('p_partkey', 15)} AS seq, (p_partkey * 2654435761) % {4**15} AS code FROM part")
+def dna_encode(spark, sf_dir):
+    seq = dna.kmer(F.col("p_partkey"), 15)
+    return table(spark, sf_dir, "part").select("p_partkey", seq.alias("seq"), dna.encode(seq).alias("code"))
+
+
+@query(f"SELECT p_partkey, {_kmer('p_partkey', 12)} AS seq FROM part")
+def dna_decode(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", dna.decode(dna.encode(dna.kmer(F.col("p_partkey"), 12)), 12).alias("seq"))
+
+
+_BEAD_READ = f"({_kmer('l_orderkey', 15)} || {_kmer('l_partkey', 15)} || {_kmer('l_suppkey', 14)})"
+
+
+@query(f"SELECT l_orderkey, l_partkey, l_suppkey, substr(r, 1, 9) || substr(r, 28, 8) AS sb, substr(r, 10, 18) AS up, substr(r, 36, 9) AS umi FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, {_BEAD_READ} AS r FROM lineitem)")
+def bead_slice(spark, sf_dir):
+    r = F.concat(dna.kmer(F.col("l_orderkey"), 15), dna.kmer(F.col("l_partkey"), 15), dna.kmer(F.col("l_suppkey"), 14))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").distinct().select("*", *(c.alias(k) for k, c in dna.slice_bead(r, "V17").items()))
+
+
+@query(f"SELECT p_partkey, s AS seq FROM (SELECT p_partkey, {_kmer('p_partkey', 9)} AS s FROM part) WHERE 9 - {_most('s')} <= 5")
+def homopolymer_filter(spark, sf_dir):
+    d = table(spark, sf_dir, "part").select("p_partkey", dna.kmer(F.col("p_partkey"), 9).alias("seq"))
+    return d.filter(dna.near_homopolymer(F.col("seq"), 9, 5))
+
+
+@query(f"SELECT p_partkey, {_off('s', chr(39) + 'ACTGACTGACTGACT' + chr(39), 15)} AS mismatches FROM (SELECT p_partkey, {_kmer('p_partkey', 15)} AS s FROM part)")
+def up_hamming(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", dna.hamming(dna.kmer(F.col("p_partkey"), 15), "ACTGACTGACTGACT", 15).alias("mismatches"))
+
+
+_RUN = "greatest(" + ", ".join(f"coalesce(list_max(list_transform(regexp_extract_all(s, '{b}+'), lambda x: length(x))), 0)" for b in "ACGT") + ")"
+
+
+@query(f"SELECT p_partkey, CAST({_most('s')} AS INTEGER) AS commonest, CAST({_RUN} AS INTEGER) AS longest_run FROM (SELECT p_partkey, {_kmer('p_partkey', 14)} AS s FROM part)")
+def seq_complexity(spark, sf_dir):
+    s = dna.kmer(F.col("p_partkey"), 14)
+    return table(spark, sf_dir, "part").select("p_partkey", dna.commonest_base(s).alias("commonest"), dna.longest_run(s).alias("longest_run"))
+
+
+@query(f"SELECT s_suppkey, seq, substr(seq, 1, p - 1) || b || substr(seq, p + 1) AS neighbour, CAST(p AS INTEGER) AS pos FROM (SELECT s_suppkey, {_kmer('s_suppkey', 6)} AS seq FROM supplier), (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS p), (SELECT unnest(['A', 'C', 'G', 'T', 'N']) AS b) WHERE substr(seq, p, 1) <> b")
+def hd1_neighbors(spark, sf_dir):
+    return dna.neighbours(table(spark, sf_dir, "supplier").select("s_suppkey", dna.kmer(F.col("s_suppkey"), 6).alias("seq")), "seq", 6, ["s_suppkey"])
+
+
+@query(f"""WITH w AS (SELECT DISTINCT {_kmer('s_suppkey', 6)} AS w FROM supplier), r AS (SELECT {_kmer('l_partkey', 6)} AS k, count(*) AS n FROM lineitem GROUP BY 1),
+h AS (SELECT k, n, {_off('k', 'w', 6)} AS d FROM r, w), c AS (SELECT k, any_value(n) AS n, count(*) FILTER (WHERE d = 0) AS e, count(*) FILTER (WHERE d = 1) AS o FROM h GROUP BY k)
+SELECT CASE WHEN e > 0 THEN 'exact' WHEN o = 1 THEN 'HD1' WHEN o > 1 THEN 'HD1ambig' ELSE 'none' END AS class, CAST(sum(n) AS BIGINT) AS reads FROM c GROUP BY 1""")
+def fuzzy_match_classes(spark, sf_dir):
+    wl = table(spark, sf_dir, "supplier").select(dna.kmer(F.col("s_suppkey"), 6).alias("sb"))
+    probes = table(spark, sf_dir, "lineitem").groupBy(dna.kmer(F.col("l_partkey"), 6).alias("key")).agg(F.count("*").alias("reads"))
+    return reads.match_totals(reads.fuzzy_match(probes, "key", wl, "sb", 6))
+
+
+@query(f"SELECT c_custkey, substr(s, 1, 7) || CASE substr(s, 8, 2) WHEN 'TC' THEN 'AG' WHEN 'AG' THEN 'TC' WHEN 'GT' THEN 'CA' WHEN 'CA' THEN 'GT' ELSE substr(s, 8, 2) END || substr(s, 10) AS cb FROM (SELECT c_custkey, {_kmer('c_custkey', 15)} || 'A' AS s FROM customer)")
+def barcode_remap(spark, sf_dir):
+    s = F.concat(dna.kmer(F.col("c_custkey"), 15), F.lit("A-1"))
+    return table(spark, sf_dir, "customer").select("c_custkey", dna.remap(dna.strip_suffix(s)).alias("cb"))
+
+
+@query(f"""WITH c AS (SELECT {_kmer('o_custkey', 15)} AS cb, count(*) AS n FROM orders GROUP BY 1), w AS (SELECT DISTINCT {_kmer('c_custkey', 15)} AS cb FROM customer WHERE c_custkey % 3 = 0),
+m AS (SELECT DISTINCT substr(cb, 1, 7) || CASE substr(cb, 8, 2) WHEN 'TC' THEN 'AG' WHEN 'AG' THEN 'TC' WHEN 'GT' THEN 'CA' WHEN 'CA' THEN 'GT' ELSE substr(cb, 8, 2) END || substr(cb, 10) AS cb FROM w),
+t AS (SELECT coalesce((SELECT sum(n) FROM c WHERE cb IN (SELECT cb FROM w)), 0) AS a, coalesce((SELECT sum(n) FROM c WHERE cb IN (SELECT cb FROM m)), 0) AS b)
+SELECT CAST(a AS BIGINT) AS reads_plain, CAST(b AS BIGINT) AS reads_remapped, b > a AS remap FROM t""")
+def remap_decision(spark, sf_dir):
+    counts = table(spark, sf_dir, "orders").groupBy(dna.kmer(F.col("o_custkey"), 15).alias("cb")).agg(F.count("*").alias("reads"))
+    wl = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(dna.kmer(F.col("c_custkey"), 15).alias("cb"))
+    return reads.should_remap(counts, wl)
+
+
+_R1 = f"substr({_kmer('l_orderkey', 15)} || {_kmer('l_partkey', 14)}, 1, CAST(27 + l_linenumber % 3 AS INTEGER))"
+_SITE = f"CASE l_orderkey % 4 WHEN 0 THEN 'TCTTCAGCGTTCCCGAGA' WHEN 1 THEN 'TCTTCAGAGTTCCCGATA' WHEN 2 THEN 'GGGGAGGGGGGGTGGGGG' ELSE {_kmer('l_partkey', 15)} || 'ACT' END"
+_R2 = f"substr({_kmer('l_partkey', 9)} || {_SITE} || {_kmer('l_suppkey', 8)} || {_kmer('l_orderkey', 9)}, 1, CAST(43 + l_orderkey % 7 AS INTEGER))"
+
+
+def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    site = F.when(o % 4 == 0, "TCTTCAGCGTTCCCGAGA").when(o % 4 == 1, "TCTTCAGAGTTCCCGATA").when(o % 4 == 2, "GGGGAGGGGGGGTGGGGG").otherwise(F.concat(dna.kmer(p, 15), F.lit("ACT")))
+    r1 = F.substr(F.concat(dna.kmer(o, 15), dna.kmer(p, 14)), F.lit(1), (27 + F.col("l_linenumber") % 3).cast("int"))
+    r2 = F.substr(F.concat(dna.kmer(p, 9), site, dna.kmer(s, 8), dna.kmer(o, 9)), F.lit(1), (43 + o % 7).cast("int"))
+    return table(spark, sf_dir, "lineitem").select(r1.alias("r1"), r2.alias("r2"))
+
+
+@query(f"""WITH r AS (SELECT {_R1} AS r1, {_R2} AS r2 FROM lineitem), p AS (SELECT r1, r2, substr(r1, 17, 12) AS umi, substr(r2, 10, 18) AS up FROM r)
+SELECT CASE WHEN length(r1) < 28 AND length(r2) < 44 THEN 'R1R2_tooshort' WHEN length(r1) < 28 THEN 'R1_tooshort' WHEN length(r2) < 44 THEN 'R2_tooshort' WHEN contains(umi, 'N') THEN 'UMI_N'
+WHEN 12 - {_most('umi')} <= 2 THEN 'UMI_homopolymer' WHEN up = 'TCTTCAGCGTTCCCGAGA' THEN 'UP_exact' WHEN {_off('up', chr(39) + 'TCTTCAGCGTTCCCGAGA' + chr(39), 18)} <= 3 THEN 'UP_fuzzy'
+WHEN {_off('up', chr(39) + 'G' * 18 + chr(39), 18)} <= 3 THEN 'UP_GG' ELSE 'UP_none' END AS status, count(*) AS n FROM p GROUP BY 1""")
+def read_waterfall(spark, sf_dir):
+    return reads.spatial_status(_reads(spark, sf_dir), "V17").groupBy("status").agg(F.count("*").alias("n"))
+
+
+_PAIR_R2 = f"substr({_kmer('l_suppkey', 15)} || CASE l_partkey % 3 WHEN 0 THEN 'CTGTTTCCTG' WHEN 1 THEN 'CTGTTTCCAG' ELSE 'GGGGGTGGGG' END || {_kmer('l_orderkey', 9)}, 1, CAST(33 + l_partkey % 5 AS INTEGER))"
+
+
+@query(f"""WITH r AS (SELECT {_R2} AS r1, {_PAIR_R2} AS r2 FROM lineitem),
+a AS (SELECT *, length(r1) < 44 AS f1, length(r2) < 34 AS f2, substr(r1, 10, 18) AS u1, substr(r2, 16, 10) AS u2, substr(r1, 36, 9) AS m1, substr(r2, 26, 9) AS m2, substr(r1, 1, 9) || substr(r1, 28, 8) AS s1, substr(r2, 1, 15) AS s2 FROM r),
+b AS (SELECT *, NOT (f1 OR f2) AS k0, {_off('u1', chr(39) + 'TCTTCAGCGTTCCCGAGA' + chr(39), 18)} > 2 AS n1, {_off('u2', chr(39) + 'CTGTTTCCTG' + chr(39), 10)} > 1 AS n2, {_off('u1', chr(39) + 'G' * 18 + chr(39), 18)} <= 3 AS g1, {_off('u2', chr(39) + 'G' * 10 + chr(39), 10)} <= 2 AS g2 FROM a),
+c AS (SELECT *, k0 AND NOT (n1 OR n2 OR g1 OR g2) AS k1, 9 - {_most('m1')} <= 2 AS h1, 9 - {_most('m2')} <= 2 AS h2 FROM b),
+d AS (SELECT *, k1 AND NOT (h1 OR h2) AS k2, 15 - {_most('substr(s1, 1, 15)')} <= 3 AS p1, 15 - {_most('s2')} <= 3 AS p2 FROM c)
+SELECT 'R1_tooshort' AS key, count(*) FILTER (WHERE f1) AS value FROM d UNION ALL SELECT 'R2_tooshort', count(*) FILTER (WHERE f2) FROM d UNION ALL SELECT 'R1_no_UP', count(*) FILTER (WHERE k0 AND n1) FROM d UNION ALL SELECT 'R2_no_UP', count(*) FILTER (WHERE k0 AND n2) FROM d
+UNION ALL SELECT 'R1_GG_UP', count(*) FILTER (WHERE k0 AND g1) FROM d UNION ALL SELECT 'R2_GG_UP', count(*) FILTER (WHERE k0 AND g2) FROM d UNION ALL SELECT 'R1_homopolymer_UMI', count(*) FILTER (WHERE k1 AND h1) FROM d UNION ALL SELECT 'R2_homopolymer_UMI', count(*) FILTER (WHERE k1 AND h2) FROM d
+UNION ALL SELECT 'R1_homopolymer_SB', count(*) FILTER (WHERE k2 AND p1) FROM d UNION ALL SELECT 'R2_homopolymer_SB', count(*) FILTER (WHERE k2 AND p2) FROM d""")
+def pair_waterfall(spark, sf_dir):
+    o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    site = F.when(o % 4 == 0, "TCTTCAGCGTTCCCGAGA").when(o % 4 == 1, "TCTTCAGAGTTCCCGATA").when(o % 4 == 2, "GGGGAGGGGGGGTGGGGG").otherwise(F.concat(dna.kmer(p, 15), F.lit("ACT")))
+    r1 = F.substr(F.concat(dna.kmer(p, 9), site, dna.kmer(s, 8), dna.kmer(o, 9)), F.lit(1), (43 + o % 7).cast("int"))
+    site2 = F.when(p % 3 == 0, "CTGTTTCCTG").when(p % 3 == 1, "CTGTTTCCAG").otherwise("GGGGGTGGGG")
+    r2 = F.substr(F.concat(dna.kmer(s, 15), site2, dna.kmer(o, 9)), F.lit(1), (33 + p % 5).cast("int"))
+    flagged = reads.pair_flags(table(spark, sf_dir, "lineitem").select(r1.alias("r1"), r2.alias("r2")), "V17", "V15")
+    return reads.counters(flagged, [f"R{k}_{n}" for n in ("tooshort", "no_UP", "GG_UP", "homopolymer_UMI", "homopolymer_SB") for k in (1, 2)])
+
+
+@query(f"SELECT sum((substr(r, 9, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V10, sum((substr(r, 16, 10) = 'CTGTTTCCTG')::INT) AS V15, sum((substr(r, 18, 10) = 'CTGTTTCCTG')::INT) AS V16, sum((substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V17, sum((substr(r, 10, 10) = 'TCTTCAGCGT')::INT) - sum((substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V19 FROM (SELECT {_R2} AS r FROM lineitem)")
+def bead_votes(spark, sf_dir):
+    return reads.bead_votes(_reads(spark, sf_dir), "r2", first=10**9)
+
+
+@query(f"""WITH p AS (SELECT {_kmer('p_partkey % 1500', 14)} AS sb, p_partkey FROM part), c AS (SELECT *, count(*) OVER (PARTITION BY sb) AS n, {_RUN.replace('(s,', '(sb,')} AS run FROM p)
+SELECT coalesce(CASE WHEN n > 1 THEN 'dup' WHEN contains(sb, 'N') THEN 'N' WHEN {_most('sb')} > 11 OR run > 10 THEN 'degen' END, 'kept') AS dropped, count(*) AS n FROM c GROUP BY 1""")
+def puck_quality(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(dna.kmer(F.col("p_partkey") % 1500, 14).alias("sb"))
+    return reads.puck_quality(p, 14).groupBy(F.coalesce("dropped", F.lit("kept")).alias("dropped")).agg(F.count("*").alias("n"))
+
+
+# --- counting ---
+
+
+@query("SELECT l_suppkey AS cb, l_partkey AS sb, count(*) AS umi FROM (SELECT DISTINCT l_suppkey, l_partkey, l_orderkey FROM lineitem) GROUP BY ALL")
+def umi_counts(spark, sf_dir):
+    return reads.count_umis(_umis(spark, sf_dir), "cb", "sb")
+
+
+@query("SELECT l_suppkey AS cb, l_orderkey AS umi, count(*) AS reads FROM lineitem GROUP BY ALL")
+def read_counts(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cb"), F.col("l_orderkey").alias("umi"))
+    return reads.count_reads(li, "cb", "umi")
+
+
+@query(f"WITH {_UMIS} SELECT cb, sb, CAST(sum(reads) AS BIGINT) AS reads FROM u GROUP BY ALL")
+def collapse_reads(spark, sf_dir):
+    return reads.collapse(_umis(spark, sf_dir), "cb", "sb")
+
+
+@query(f"WITH {_UMIS}, w AS (SELECT *, max(reads) OVER (PARTITION BY cb, umi % 500) AS m, count(*) OVER (PARTITION BY cb, umi % 500, reads) AS c FROM u) SELECT cb, umi, sb, reads FROM w WHERE reads = m AND c = 1")
+def chimera_single(spark, sf_dir):
+    u = _umis(spark, sf_dir).withColumn("slot", F.col("umi") % 500)
+    return reads.only_maximum(u, [["cb", "slot"]]).drop("slot")
+
+
+@query(f"WITH {_UMIS}, w AS (SELECT *, max(reads) OVER (PARTITION BY cb, umi % 300) AS m1, count(*) OVER (PARTITION BY cb, umi % 300, reads) AS c1, max(reads) OVER (PARTITION BY sb, umi % 7) AS m2, count(*) OVER (PARTITION BY sb, umi % 7, reads) AS c2 FROM u) SELECT cb, umi, sb, reads FROM w WHERE reads = m1 AND c1 = 1 AND reads = m2 AND c2 = 1")
+def chimera_double(spark, sf_dir):
+    u = _umis(spark, sf_dir).withColumns({"a": F.col("umi") % 300, "b": F.col("umi") % 7})
+    return reads.only_maximum(u, [["cb", "a"], ["sb", "b"]]).drop("a", "b")
+
+
+@query(f"WITH {_UMIS} SELECT reads, count(*) AS n FROM u GROUP BY ALL")
+def reads_per_umi_hist(spark, sf_dir):
+    return reads.histogram(_umis(spark, sf_dir), "reads")
+
+
+@query("SELECT least(n, 10) AS events, count(*) AS n FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) GROUP BY 1")
+def capped_hist(spark, sf_dir):
+    per = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("events"))
+    return reads.histogram(per, "events", 10)
+
+
+@query(f"WITH {_UMIS} SELECT round(1 - count(*) / sum(reads), 6) AS saturation FROM u")
+def saturation_global(spark, sf_dir):
+    return reads.saturation(_umis(spark, sf_dir)).select(F.round("saturation", 6).alias("saturation"))
+
+
+@query(f"WITH {_UMIS} SELECT cb, round(1 - count(*) / sum(reads), 6) AS saturation FROM u GROUP BY cb")
+def saturation_per_cell(spark, sf_dir):
+    return reads.saturation(_umis(spark, sf_dir), "cb").select("cb", F.round("saturation", 6).alias("saturation"))
+
+
+_PER_PART = "c AS (SELECT l_partkey AS sb, count(*) AS n FROM lineitem GROUP BY l_partkey)"
+_ELBOW = f"{_PER_PART}, h AS (SELECT n AS value, count(*) AS k FROM c GROUP BY n), t AS (SELECT value, k, CAST(sum(k) OVER (ORDER BY value DESC) AS BIGINT) AS upto FROM h), e AS (SELECT DISTINCT unnest([upto - k + 1, upto]) AS rank, value FROM t)"
+
+
+def _per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("sb")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_ELBOW} SELECT rank, value FROM e")
+def elbow_curve(spark, sf_dir):
+    return stats.elbow(_per_part(spark, sf_dir), "n")
+
+
+@query(f"WITH {_ELBOW}, l AS (SELECT rank, value, log10(rank) AS x, log10(value) AS y FROM e), s AS (SELECT rank, value, round((lead(y) OVER w - lag(y) OVER w) / (lead(x) OVER w - lag(x) OVER w), 12) AS slope, lead(y, 2) OVER w AS y2 FROM l WINDOW w AS (ORDER BY rank)) SELECT CAST(round(pow(10, y2)) AS BIGINT) AS cutoff FROM s WHERE value BETWEEN 10 AND 1000 AND slope IS NOT NULL AND y2 IS NOT NULL ORDER BY slope, rank LIMIT 1")
+def umi_cutoff_auto(spark, sf_dir):
+    return stats.cutoff_auto(_per_part(spark, sf_dir), "n")
+
+
+@query(f"WITH {_ELBOW} SELECT coalesce(max(value) FILTER (WHERE upto >= 100), min(value)) AS cutoff FROM t")
+def umi_cutoff_manual(spark, sf_dir):
+    return stats.cutoff_manual(_per_part(spark, sf_dir), "n", 100)
+
+
+@query(f"WITH {_UMIS}, p AS (SELECT cb, sb, count(*) AS umi FROM u GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY cb ORDER BY umi DESC) AS k FROM p) SELECT cb, CAST(sum(umi) AS BIGINT) AS total, count(*) AS connections, max(umi) AS max, " + ", ".join(f"CAST(sum(CASE WHEN k <= {t} THEN umi ELSE 0 END) AS BIGINT) AS top{t}" for t in (5, 20, 50, 100)) + " FROM r GROUP BY cb")
+def topn_sums(spark, sf_dir):
+    return reads.top_sums(reads.count_umis(_umis(spark, sf_dir), "cb", "sb"), "cb")
+
+
+@query("SELECT hit_a, hit_b, count(*) AS n FROM (SELECT l_suppkey % 3 = 0 AS hit_a, l_partkey % 5 = 0 AS hit_b FROM lineitem) GROUP BY ALL")
+def whitelist_semi(spark, sf_dir):
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b"))
+    wl_a = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("a"))
+    wl_b = table(spark, sf_dir, "part").filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("b"))
+    return reads.semi_both(pairs, wl_a, wl_b, "a", "b").groupBy("hit_a", "hit_b").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_UMIS}, e AS (SELECT cb, sb, count(*) AS umi FROM u GROUP BY ALL) SELECT cb, sb, umi FROM e WHERE sb NOT IN (SELECT sb FROM e GROUP BY sb HAVING count(*) > 30) AND cb NOT IN (SELECT cb FROM e GROUP BY cb HAVING count(*) > 620)")
+def connection_anti(spark, sf_dir):
+    e = reads.count_umis(_umis(spark, sf_dir), "cb", "sb")
+    return reads.anti_both(e, e.groupBy("sb").count().filter("count > 30"), e.groupBy("cb").count().filter("count > 620"), "sb", "cb").select("cb", "sb", "umi")
+
+
+@query()
+def kde_cutoff(spark, sf_dir):
+    e = reads.count_umis(_umis(spark, sf_dir), "cb", "sb").groupBy("sb").agg(F.count("*").alias("connections"))
+    return stats.connection_cutoff(e, "connections")
+
+
+@query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name) AS idx FROM customer")
+def factorize(spark, sf_dir):
+    return reads.factorize(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "idx")
+
+
+@query(f"""WITH {_UMIS}, h AS (SELECT reads, count(*) AS n FROM u GROUP BY reads), g AS (SELECT reads AS k, n AS v, s, CAST(round_even(reads * n * s / 20.0, 0) AS BIGINT) AS m FROM h, (SELECT unnest(range(0, 21)) AS s))
+SELECT s / 20.0 AS p, round(sum(v * (1 - list_product(list_transform(range(0, k), lambda i: greatest(k * v - m - i, 0) / CAST(k * v - i AS DOUBLE))))), 4) AS umis FROM g GROUP BY s""")
+def downsample_curve(spark, sf_dir):
+    return reads.downsampling_curve(reads.histogram(_umis(spark, sf_dir), "reads")).select("p", F.round("umis", 4).alias("umis"))
+
+
+# --- statistics ---
+
+
+@query(f"WITH {_UMIS}, v AS (SELECT cb, sb, count(*) AS n FROM u GROUP BY ALL), h AS (SELECT cb, n, count(*) AS k FROM v GROUP BY ALL) SELECT cb, max(least(n, c)) AS h FROM (SELECT cb, n, CAST(sum(k) OVER (PARTITION BY cb ORDER BY n DESC) AS BIGINT) AS c FROM h) GROUP BY cb")
+def h_index(spark, sf_dir):
+    return stats.h_index(reads.count_umis(_umis(spark, sf_dir), "cb", "sb"), "cb", "umi")
+
+
+@query(f"WITH {_UMIS}, {_BEADS}, p AS (SELECT cb, x, y, count(*) AS w FROM u JOIN b USING (sb) GROUP BY cb, sb, x, y), m AS (SELECT *, sum(w * x) OVER (PARTITION BY cb) / sum(w) OVER (PARTITION BY cb) AS mx, sum(w * y) OVER (PARTITION BY cb) / sum(w) OVER (PARTITION BY cb) AS my FROM p) SELECT cb, round(any_value(mx), 6) AS x, round(any_value(my), 6) AS y, round(sqrt(sum(w * ((x - mx) * (x - mx) + (y - my) * (y - my))) / sum(w)), 6) AS rmsd FROM m GROUP BY cb")
+def weighted_centroid(spark, sf_dir):
+    p = reads.count_umis(_umis(spark, sf_dir), "cb", "sb").join(_beads(spark, sf_dir), "sb")
+    return stats.weighted_centroid(p, "cb").select("cb", *(F.round(c, 6).alias(c) for c in ("x", "y", "rmsd")))
+
+
+@query(f"""WITH {_UMIS}, {_BEADS}, w AS (SELECT *, max(reads) OVER (PARTITION BY cb, umi) AS m, count(*) OVER (PARTITION BY cb, umi, reads) AS c FROM u), k AS (SELECT cb, sb, count(*) AS umi FROM w WHERE reads = m AND c = 1 GROUP BY ALL),
+p AS (SELECT cb, sb, umi, x, y FROM k JOIN b USING (sb)), q AS (SELECT *, sum(umi * x) OVER (PARTITION BY cb) / sum(umi) OVER (PARTITION BY cb) AS mx, sum(umi * y) OVER (PARTITION BY cb) / sum(umi) OVER (PARTITION BY cb) AS my FROM p),
+r AS (SELECT cb, round(any_value(mx), 6) AS x, round(any_value(my), 6) AS y, round(sqrt(sum(umi * ((x - mx) * (x - mx) + (y - my) * (y - my))) / sum(umi)), 6) AS rmsd FROM q GROUP BY cb),
+h AS (SELECT cb, umi, count(*) AS n FROM p GROUP BY ALL), i AS (SELECT cb, max(least(umi, c)) AS h FROM (SELECT cb, umi, CAST(sum(n) OVER (PARTITION BY cb ORDER BY umi DESC) AS BIGINT) AS c FROM h) GROUP BY cb) SELECT r.cb, x, y, rmsd, h FROM r JOIN i USING (cb)""")
+def cell_summary(spark, sf_dir):
+    """Reads to placed cells: chimera removal, molecule counts, bead join, weighted centroid and h-index."""
+    kept = reads.count_umis(reads.only_maximum(_umis(spark, sf_dir), [["cb", "umi"]]), "cb", "sb")
+    p = kept.join(_beads(spark, sf_dir), "sb")
+    return stats.weighted_centroid(p, "cb").select("cb", *(F.round(c, 6).alias(c) for c in ("x", "y", "rmsd"))).join(stats.h_index(p, "cb", "umi"), "cb")
+
+
+_TOP2 = "s AS (SELECT o_custkey AS k, o_orderpriority AS g, CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS w FROM orders GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY w DESC, g) AS i FROM s), t AS (SELECT k, max(g) FILTER (WHERE i = 1) AS group1, max(w) FILTER (WHERE i = 1) AS weight1, max(g) FILTER (WHERE i = 2) AS group2, max(w) FILTER (WHERE i = 2) AS weight2 FROM r WHERE i <= 2 GROUP BY k)"
+
+
+def _top2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("g"), F.bround("o_totalprice", 0).cast("bigint").alias("w"))
+    return stats.top2(o, "k", "g", "w")
+
+
+@query(f"WITH {_TOP2} SELECT * FROM t")
+def top2_clusters(spark, sf_dir):
+    return _top2(spark, sf_dir)
+
+
+@query(f"WITH {_TOP2}, a AS (SELECT v, CAST(sum(n) OVER (ORDER BY v) AS DOUBLE) / sum(n) OVER () AS f FROM (SELECT weight1 AS v, count(*) AS n FROM t GROUP BY 1)), b AS (SELECT v, CAST(sum(n) OVER (ORDER BY v) AS DOUBLE) / sum(n) OVER () AS f FROM (SELECT weight2 AS v, count(*) AS n FROM t WHERE weight2 IS NOT NULL GROUP BY 1)), q AS (SELECT k, weight2, (SELECT max(f) FROM a WHERE a.v <= t.weight1) AS f1, coalesce((SELECT max(f) FROM a WHERE a.v <= t.weight2), 0) AS f1s, coalesce((SELECT max(f) FROM b WHERE b.v <= t.weight1), 0) AS f2 FROM t) SELECT k, round(CASE WHEN weight2 IS NULL THEN f2 ELSE (1 - f1s / f1) * f2 END, 6) AS score FROM q")
+def ecdf_score(spark, sf_dir):
+    return stats.ecdf_score(_top2(spark, sf_dir), "weight1", "weight2").select("k", F.round("score", 6).alias("score"))
+
+
+_SPANS = "i AS (SELECT DISTINCT l_suppkey AS k, l_orderkey % 1000 AS s, l_orderkey % 1000 + CAST(l_quantity AS BIGINT) AS e FROM lineitem)"
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = F.col("l_orderkey") % 1000
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), o.alias("start"), (o + F.col("l_quantity").cast("bigint")).alias("end")).distinct()
+
+
+@query(f"WITH {_SPANS}, m AS (SELECT *, max(e) OVER (PARTITION BY k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM i), g AS (SELECT *, sum(CASE WHEN b IS NULL OR s > b THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS n FROM m) SELECT k, min(s) AS start, max(e) AS \"end\" FROM g GROUP BY k, n")
+def interval_union(spark, sf_dir):
+    return stats.interval_union(_spans(spark, sf_dir), "k")
+
+
+@query(f"WITH {_SPANS}, p AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 1000 AS pos FROM lineitem) SELECT p.k, p.pos, count(i.s) AS covers FROM p LEFT JOIN i ON i.k = p.k AND i.s <= p.pos AND p.pos < i.e GROUP BY p.k, p.pos")
+def stabbing_counts(spark, sf_dir):
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), (F.col("l_partkey") % 1000).alias("pos")).distinct()
+    return stats.stabbing_counts(p, _spans(spark, sf_dir), "k", "pos")
+
+
+@query(f"WITH {_SPANS}, p AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 1000 AS pos FROM lineitem) SELECT p.k, p.pos, count(i.s) AS covers FROM p LEFT JOIN i ON i.k = p.k AND i.s + 15 < p.pos AND p.pos + 15 < i.e GROUP BY p.k, p.pos")
+def stabbing_counts_inner(spark, sf_dir):
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), (F.col("l_partkey") % 1000).alias("pos")).distinct()
+    return stats.stabbing_counts(p, _spans(spark, sf_dir), "k", "pos", buffer=15)
+
+
+@query("WITH r AS (SELECT l_partkey, CAST(min(l_quantity) AS BIGINT) AS lo, CAST(max(l_quantity) AS BIGINT) AS hi FROM lineitem GROUP BY 1), p AS (SELECT unnest(range(lo + 1, hi + 1)) AS point FROM r) SELECT point, count(*) AS covered FROM p GROUP BY point ORDER BY covered DESC, point DESC LIMIT 1")
+def coverage_argmax(spark, sf_dir):
+    r = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min("l_quantity").cast("bigint").alias("lo"), F.max("l_quantity").cast("bigint").alias("hi"))
+    return stats.most_covered(r, "lo", "hi")
+
+
+@query("WITH g AS (SELECT l_orderkey, l_returnflag, l_linestatus, count(*) AS reads FROM lineitem GROUP BY ALL), w AS (SELECT *, max(reads) OVER (PARTITION BY l_orderkey) AS m, count(*) OVER (PARTITION BY l_orderkey, reads) AS c FROM g) SELECT l_orderkey, l_returnflag, l_linestatus, reads FROM w WHERE reads = m AND c = 1")
+def dominant_group(spark, sf_dir):
+    return reads.dominant_group(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"])
+
+
+@query("SELECT user_id, event_type, count(*) FILTER (WHERE value > 30) AS hq, count(*) FILTER (WHERE value <= 30) AS lq FROM events GROUP BY ALL")
+def snv_quality(spark, sf_dir):
+    return variants.snv_quality(table(spark, sf_dir, "events"), ["user_id", "event_type"], "value")
+
+
+_TAGS = ("click", "purchase", "view")
+
+
+@query("SELECT user_id, " + ", ".join(f"coalesce(min(CAST(event_id AS VARCHAR)) FILTER (WHERE event_type = '{t}'), '') AS {t}" for t in _TAGS) + " FROM events GROUP BY user_id")
+def tag_pivot(spark, sf_dir):
+    return variants.pivot_tags(table(spark, sf_dir, "events"), "user_id", "event_type", "event_id", list(_TAGS))
+
+
+@query("SELECT l_orderkey % 4096 AS flag, ((l_orderkey % 4096 >> 4) & 1) # ((l_orderkey % 4096 >> 7) & 1) AS strand, CAST((sum(l_linenumber) + count(*) // 2) // count(*) AS BIGINT) AS mapq FROM lineitem WHERE (l_orderkey % 4096) & 2308 = 0 GROUP BY 1, 2".replace(" # ", " ^ ").replace("((l_orderkey % 4096 >> 4) & 1) ^ ((l_orderkey % 4096 >> 7) & 1)", "xor((l_orderkey % 4096 >> 4) & 1, (l_orderkey % 4096 >> 7) & 1)"))
+def strand_mapq(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 4096).alias("flag"), "l_linenumber").filter(alignment.primary(F.col("flag")))
+    return li.groupBy("flag", alignment.strand(F.col("flag")).alias("strand")).agg(alignment.mean_rounded(F.sum("l_linenumber"), F.count("*")).alias("mapq"))
+
+
+_CIGAR = "(CAST(10 + l_orderkey % 40 AS VARCHAR) || 'M' || CAST(1 + l_partkey % 5 AS VARCHAR) || substr('IDNS', CAST(1 + l_suppkey % 4 AS INTEGER), 1) || CAST(5 + l_partkey % 20 AS VARCHAR) || 'M')"
+
+
+@query("""WITH c AS (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, 10 + l_orderkey % 40 AS a, 1 + l_partkey % 5 AS b, 5 + l_partkey % 20 AS c, substr('IDNS', CAST(1 + l_suppkey % 4 AS INTEGER), 1) AS o FROM lineitem),
+w AS (SELECT 'M' AS op, a AS len, 0 AS qpos, l_orderkey AS rpos FROM c UNION ALL SELECT o, b, a, l_orderkey + a FROM c UNION ALL SELECT 'M', c, a + CASE WHEN o IN ('I', 'S') THEN b ELSE 0 END, l_orderkey + a + CASE WHEN o IN ('D', 'N') THEN b ELSE 0 END FROM c)
+SELECT op, count(*) AS n, CAST(sum(len) AS BIGINT) AS len, CAST(sum(qpos) AS BIGINT) AS qpos, CAST(sum(rpos) AS BIGINT) AS rpos FROM w GROUP BY op""")
+def cigar_walk(spark, sf_dir):
+    o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    cigar = F.concat((10 + o % 40).cast("string"), F.lit("M"), (1 + p % 5).cast("string"), F.substr(F.lit("IDNS"), (1 + s % 4).cast("int"), F.lit(1)), (5 + p % 20).cast("string"), F.lit("M"))
+    r = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").distinct().select(F.concat_ws("-", o, p, s).alias("read"), o.alias("pos"), cigar.alias("cigar"))
+    return variants.cigar_walk(r).groupBy("op").agg(F.count("*").alias("n"), *(F.sum(c).cast("bigint").alias(c) for c in ("len", "qpos", "rpos")))
+
+
+# --- graphs ---
+
+
+def _unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("c", "e"))
+    from pyspark.sql import Window
+
+    e = F.col("e").cast("double")
+    return v.select("vec_id", "c", (e / F.sqrt(F.sum(e * e).over(Window.partitionBy("vec_id")))).alias("w"))
+
+
+_UNIT = "v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), z AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_cosine_similarity(a.e, b.e) AS sim FROM v a, v b), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS k FROM z), t AS (SELECT src, dst, greatest(least(1 - round(sim, 9), 1), 0) AS dist FROM r WHERE k <= 11 AND src <> dst AND 1 - round(sim, 9) > 0)"
+
+
+def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.to_distances(graph.product_top(_unit(spark, sf_dir), "vec_id", "c", "w", 11))
+
+
+@query(f"WITH {_UNIT} SELECT src, dst, round(dist, 5) AS dist FROM t")
+def knn_cosine(spark, sf_dir):
+    return _knn(spark, sf_dir).select("src", "dst", F.round("dist", 5).alias("dist"))
+
+
+@query("""WITH c AS (SELECT l_suppkey AS i, l_partkey % 200 AS c, count(*) AS n FROM lineitem GROUP BY ALL), w AS (SELECT i, c, ln(1 + n) / sqrt(sum(ln(1 + n) * ln(1 + n)) OVER (PARTITION BY i)) AS w FROM c),
+z AS (SELECT a.i AS src, b.i AS dst, sum(a.w * b.w) AS sim FROM w a JOIN w b USING (c) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS k FROM z) SELECT src, dst, round(greatest(least(1 - round(sim, 9), 1), 0), 5) AS dist FROM r WHERE k <= 16 AND src <> dst AND 1 - round(sim, 9) > 0""")
+def knn_log1p(spark, sf_dir):
+    c = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("i"), (F.col("l_partkey") % 200).alias("c")).agg(F.count("*").alias("n"))
+    return graph.to_distances(graph.product_top(graph.log_normalised(c, "i", "c", "n"), "i", "c", "w", 16)).select("src", "dst", F.round("dist", 5).alias("dist"))
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small directed graph from keys: customers linked to others by their orders."""
+    o = table(spark, sf_dir, "orders")
+    e = o.select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") * 13 % 997 + 1).alias("dst"), (F.col("o_orderkey") % 89 / 100.0).alias("dist"))
+    return e.filter("src <> dst").groupBy("src", "dst").agg(F.min("dist").alias("dist"))
+
+
+_EDGES = "e AS (SELECT o_custkey AS src, o_orderkey * 13 % 997 + 1 AS dst, min(o_orderkey % 89 / 100.0) AS dist FROM orders WHERE o_custkey <> o_orderkey * 13 % 997 + 1 GROUP BY 1, 2)"
+_PAIRS = f"{_EDGES}, p AS (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, max(1 - dist) AS w FROM e GROUP BY 1, 2)"
+
+
+@query(f"WITH {_EDGES} SELECT src, dst, round(max(dist), 6) AS dist FROM (SELECT src, dst, dist FROM e UNION ALL SELECT dst, src, dist FROM e) GROUP BY 1, 2")
+def symmetrize(spark, sf_dir):
+    return graph.symmetric(_edges(spark, sf_dir), "dist").select("src", "dst", F.round("dist", 6).alias("dist"))
+
+
+@query(f"""WITH {_PAIRS}, b AS (SELECT src AS id, dst AS other, w FROM p UNION ALL SELECT dst, src, w FROM p), d AS (SELECT id, count(*) AS degree, sum(w) AS strength, 1 - max(w) AS nearest, 1 - min(w) AS furthest FROM b GROUP BY id),
+t AS (SELECT x.id, count(*) AS n FROM b x JOIN b y ON x.id = y.id AND x.other < y.other JOIN p ON p.src = x.other AND p.dst = y.other GROUP BY x.id)
+SELECT d.id, degree, round(strength, 6) AS strength, coalesce(n, 0) AS triangles, round(CASE WHEN degree > 1 THEN 2.0 * coalesce(n, 0) / (degree * (degree - 1)) ELSE 0 END, 6) AS clustering, round(nearest, 6) AS nearest, round(furthest, 6) AS furthest FROM d LEFT JOIN t ON t.id = d.id""")
+def graph_stats(spark, sf_dir):
+    m = graph.node_metrics(graph.undirected(_edges(spark, sf_dir)))
+    return m.select("id", "degree", F.round("strength", 6).alias("strength"), "triangles", *(F.round(c, 6).alias(c) for c in ("clustering", "nearest", "furthest")))
+
+
+@query(f"""WITH {_PAIRS}, b AS (SELECT src AS i, dst AS j, w FROM p UNION ALL SELECT dst, src, w FROM p), q AS (SELECT i, j, w / sum(w) OVER (PARTITION BY i) AS p FROM b), v AS (SELECT x.i, y.j, sum(x.p * y.p) AS p FROM q x JOIN q y ON x.j = y.i GROUP BY 1, 2)
+SELECT q.i AS id, round(sum(pow(q.p + coalesce(v.p, 0), 2)), 6) AS "constraint" FROM q LEFT JOIN v ON v.i = q.i AND v.j = q.j GROUP BY q.i""")
+def graph_constraint(spark, sf_dir):
+    return graph.constraint(graph.undirected(_edges(spark, sf_dir))).select("id", F.round("constraint", 6).alias("constraint"))
+
+
+@query(f"WITH {_PAIRS}, c AS (SELECT src % 17 AS a, dst % 17 AS b, w FROM p WHERE src % 17 <> dst % 17) SELECT a AS src, b AS dst, round(sum(w), 6) AS w FROM (SELECT a, b, w FROM c UNION ALL SELECT b, a, w FROM c) GROUP BY 1, 2")
+def contract(spark, sf_dir):
+    p = graph.undirected(_edges(spark, sf_dir))
+    nodes = p.select(F.col("src").alias("id")).union(p.select(F.col("dst").alias("id"))).distinct().withColumn("group", F.col("id") % 17)
+    return graph.contracted(p, nodes).select("src", "dst", F.round("w", 6).alias("w"))
+
+
+@query()
+def peel_fixpoint(spark, sf_dir):
+    return graph.peeled(_edges(spark, sf_dir), 5)
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, k AS (SELECT src, dst FROM e WHERE dist < 0.02), b AS (SELECT src, dst FROM k UNION SELECT dst, src FROM k), r(id, c) AS (SELECT src, src FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.id), m AS (SELECT id, min(c) AS component FROM r GROUP BY id),
+l AS (SELECT component FROM m GROUP BY component ORDER BY count(*) DESC, component LIMIT 1) SELECT k.src, k.dst FROM k JOIN m ON m.id = k.src WHERE m.component = (SELECT component FROM l)""")
+def largest_component(spark, sf_dir):
+    return graph.largest_component(_edges(spark, sf_dir).filter("dist < 0.02").select("src", "dst"))
+
+
+_MEAN = "SELECT c.id, coalesce(n.x, c.x) AS x, coalesce(n.y, c.y) AS y FROM {0} c LEFT JOIN (SELECT e.src AS id, sum((1 - dist) * q.x) / sum(1 - dist) AS x, sum((1 - dist) * q.y) / sum(1 - dist) AS y FROM e JOIN {0} q ON q.id = e.dst GROUP BY e.src) n ON n.id = c.id"
+
+
+@query(f"WITH {_EDGES}, c0 AS (SELECT c_custkey AS id, CAST(c_custkey % 101 AS DOUBLE) AS x, CAST(c_custkey % 53 AS DOUBLE) AS y FROM customer), c1 AS ({_MEAN.format('c0')}), c2 AS ({_MEAN.format('c1')}), c3 AS ({_MEAN.format('c2')}) SELECT id, round(x, 6) AS x, round(y, 6) AS y FROM c3")
+def neighbor_average(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(k.alias("id"), (k % 101).cast("double").alias("x"), (k % 53).cast("double").alias("y"))
+    return graph.averaged(_edges(spark, sf_dir), c).select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query()
+def community_labels(spark, sf_dir):
+    return graph.communities(graph.undirected(_knn(spark, sf_dir)))
+
+
+@query()
+def graph_layout(spark, sf_dir):
+    return graph.scaled(graph.layout(_knn(spark, sf_dir)), 12_000)
+
+
+# --- placement ---
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 50).alias("cb"), (F.col("event_id") % 400).alias("sb")).agg(F.count("*").alias("umi"))
+    return ev.select("cb", "sb", (F.col("sb") * 7919 % 400).cast("double").alias("x"), (F.col("sb") * 104729 % 400).cast("double").alias("y"), "umi")
+
+
+@query()
+def dbscan_cells(spark, sf_dir):
+    return cluster.clusters(_points(spark, sf_dir), 40.0, 8)
+
+
+@query()
+def minpts_bounds(spark, sf_dir):
+    return cluster.cell_bounds(_points(spark, sf_dir), 40.0)
+
+
+@query()
+def placement(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    return cluster.placement(cluster.clusters(p, 40.0, 10), p)
+
+
+@query()
+def dynamic_placement(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    return cluster.dynamic_placement(p, cluster.cell_bounds(p, 40.0), 40.0)
+
+
+# --- cells and samples ---
+
+
+def _tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy((F.col("user_id") % 97).alias("cell"), (F.col("event_id") % 30).cast("int").alias("tag_idx")).agg(F.count("*").alias("count"))
+
+
+def _groups(spark: SparkSession) -> DataFrame:
+    g = spark.range(1, 97)
+    return g.select(F.col("id").alias("group"), F.explode(F.array(*(((F.col("id") * a + b) % 30).cast("int") for a, b in ((1, 0), (7, 3), (11, 5))))).alias("tag_idx")).distinct()
+
+
+_DEMUX = """c AS (SELECT user_id % 97 AS cell, event_id % 30 AS tag, count(*) AS n FROM events GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY n DESC, tag DESC) AS r FROM c),
+g AS (SELECT DISTINCT g, unnest([g % 30, (g * 7 + 3) % 30, (g * 11 + 5) % 30]) AS tag FROM (SELECT unnest(range(1, 97)) AS g)),
+v5 AS (SELECT cell, g, avg(n) AS m FROM k JOIN g USING (tag) WHERE r <= 5 GROUP BY ALL HAVING count(*) >= 3), v8 AS (SELECT cell, g FROM k JOIN g USING (tag) WHERE r <= 8 GROUP BY ALL HAVING count(*) >= 3),
+q3 AS (SELECT cell FROM k GROUP BY cell HAVING max(n) FILTER (WHERE r = 3) >= coalesce(max(n) FILTER (WHERE r = 4), 0)), q8 AS (SELECT cell FROM k GROUP BY cell HAVING max(n) FILTER (WHERE r = 8) >= coalesce(max(n) FILTER (WHERE r = 9), 0)),
+d AS (SELECT cell, array_to_string(list_sort(list(g)), '-') AS pair FROM v8 WHERE cell IN (SELECT cell FROM q8) GROUP BY cell HAVING count(*) > 1), s AS (SELECT cell, g, row_number() OVER (PARTITION BY cell ORDER BY m DESC, g) AS i FROM v5 WHERE cell IN (SELECT cell FROM q3))"""
+
+
+@query(f"WITH {_DEMUX} SELECT cell, g AS \"group\", cell IN (SELECT cell FROM d) AS doublet FROM s WHERE i = 1")
+def demux_calls(spark, sf_dir):
+    return demux.calls(_tag_counts(spark, sf_dir), _groups(spark))
+
+
+@query(f"WITH {_DEMUX} SELECT pair, count(*) AS n FROM d GROUP BY pair")
+def doublet_pairs(spark, sf_dir):
+    return demux.doublets(_tag_counts(spark, sf_dir), _groups(spark)).groupBy("pair").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_suppkey AS cell, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) / sum(l_quantity), 6) AS fraction FROM lineitem GROUP BY 1")
+def pct_conditional(spark, sf_dir):
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.concat(F.when(F.col("l_returnflag") == "R", "mt-").otherwise("g-"), "l_partkey").alias("gene"), F.col("l_quantity").alias("n"))
+    return cells.mito_fraction(c).select("cell", F.round("fraction", 6).alias("fraction"))
+
+
+@query("SELECT l_suppkey AS cell, round(avg(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END), 6) AS fraction FROM lineitem GROUP BY 1")
+def intronic_fraction(spark, sf_dir):
+    m = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("umi_type"))
+    return cells.intronic_fraction(m).select("cell", F.round("fraction", 6).alias("fraction"))
+
+
+@query("SELECT a.k AS cell, round((a.n - b.n) / a.n, 6) AS fraction FROM (SELECT l_suppkey AS k, sum(l_quantity) AS n FROM lineitem GROUP BY 1) a JOIN (SELECT l_suppkey AS k, sum(l_quantity) AS n FROM lineitem WHERE l_tax < 0.05 AND l_suppkey % 2 = 0 GROUP BY 1) b ON a.k = b.k")
+def contamination_fraction(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("n"), "l_tax")
+    return stats.contamination(li, li.filter("l_tax < 0.05 AND cell % 2 = 0"), "cell").select("cell", F.round("fraction", 6).alias("fraction"))
+
+
+@query("WITH c AS (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1) SELECT k AS cell, n AS total FROM c WHERE n > 600")
+def cell_minimum(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.lit(1).alias("n"))
+    return cells.cells_with(li, 600, strict=True)
+
+
+@query("SELECT g AS \"group\", coalesce(n, 0) AS n FROM (SELECT unnest(range(1, 97)) AS g) LEFT JOIN (SELECT c_custkey % 120 AS k, count(*) AS n FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1) ON k = g")
+def group_zero_fill(spark, sf_dir):
+    return stats.zero_filled(table(spark, sf_dir, "customer").filter("c_custkey % 7 = 0").select((F.col("c_custkey") % 120).alias("group")), "group", 96)
+
+
+@query("SELECT cell, rank, tag_idx, n AS count FROM (SELECT user_id % 97 AS cell, event_id % 30 AS tag_idx, count(*) AS n, row_number() OVER (PARTITION BY user_id % 97 ORDER BY count(*) DESC, event_id % 30 DESC) AS rank FROM events GROUP BY ALL) WHERE rank <= 4".replace("GROUP BY ALL", "GROUP BY 1, 2"))
+def k_largest(spark, sf_dir):
+    return stats.k_largest(_tag_counts(spark, sf_dir), "cell", "tag_idx", "count", 4)
+
+
+@query("SELECT l_linenumber FROM (SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY 1) ORDER BY n DESC, l_linenumber DESC LIMIT 1")
+def argmax_last(spark, sf_dir):
+    return stats.argmax_last(table(spark, sf_dir, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("n")), "l_linenumber", "n")
+
+
+# --- bookkeeping ---
+
+
+@query("SELECT o_orderkey, coalesce(c_name, '') AS c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0")
+def left_lookup_fill(spark, sf_dir):
+    names = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return bookkeeping.looked_up(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), names, ["o_custkey"], "c_name").select("o_orderkey", "c_name")
+
+
+@query("SELECT n_regionkey, array_to_string(list_sort(list(DISTINCT n_name)), chr(10)) AS n_name FROM nation GROUP BY 1")
+def concat_group(spark, sf_dir):
+    return bookkeeping.listed(table(spark, sf_dir, "nation"), ["n_regionkey"], "n_name")
+
+
+@query("SELECT '/' || n_name || '.' AS name, '/data/' || n_name || '.csv' AS path FROM nation")
+def name_contains_unique(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    return bookkeeping.unique_match(n.select(F.concat(F.lit("/"), "n_name", F.lit(".")).alias("name")), n.select(F.concat(F.lit("/data/"), "n_name", F.lit(".csv")).alias("path")))
+
+
+@query("SELECT o_custkey, CAST(ceil(greatest(2 * sum(CAST(o_totalprice * 100000 AS BIGINT)) / 1e9, 64)) AS BIGINT) AS gb FROM orders GROUP BY 1")
+def memory_estimate(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.round(F.col("o_totalprice") * 100000).cast("bigint").alias("size"))
+    return bookkeeping.memory_estimate(o, ["o_custkey"])
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN i7 ELSE i7 || 'AT' END AS i7, CASE WHEN c_custkey % 4 = 0 THEN i5 ELSE 'AC' || i5 END AS i5 FROM (SELECT c_custkey, " + f"CASE WHEN c_custkey % 4 = 0 THEN {_kmer('c_custkey', 10)} ELSE {_kmer('c_custkey', 8)} END AS i7, CASE WHEN c_custkey % 4 = 0 THEN {_kmer('c_custkey + 5', 10)} ELSE {_kmer('c_custkey + 5', 8)} END AS i5 FROM customer)")
+def index_padding(spark, sf_dir):
+    k = F.col("c_custkey")
+    long = k % 4 == 0
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.when(long, dna.kmer(k, 10)).otherwise(dna.kmer(k, 8)).alias("i7"), F.when(long, dna.kmer(k + 5, 10)).otherwise(dna.kmer(k + 5, 8)).alias("i5"))
+    return text.pad_indexes(c)
+
+
+@query("SELECT g, chr(CAST(65 + (g - 1) // 12 AS INTEGER)) || CAST((g - 1) % 12 + 1 AS VARCHAR) AS well FROM (SELECT unnest(range(1, 97)) AS g)")
+def well_names(spark, sf_dir):
+    return spark.range(1, 97).select(F.col("id").alias("g"), text.well(F.col("id")).alias("well"))
+
+
+# --- geometry ---
+
+
+@query("WITH v AS (SELECT p_partkey % 40 AS k, p_partkey AS o, CAST(p_partkey * 7919 % 1000 AS DOUBLE) AS x, CAST(p_partkey * 104729 % 1000 AS DOUBLE) AS y FROM part), n AS (SELECT k, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1 FROM v WINDOW w AS (PARTITION BY k ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) SELECT k, round(abs(sum(x * y1 - x1 * y)) / 2, 6) AS area FROM n GROUP BY k")
+def polygon_area(spark, sf_dir):
+    b = _beads(spark, sf_dir).withColumn("k", F.col("sb") % 40)
+    return geometry.polygon_area(b, "k", "sb").select("k", F.round("area", 6).alias("area"))
+
+
+@query(f"WITH {_BEADS} SELECT sb, (y > 100 AND y < 900 AND x > 200 AND x < 800 AND NOT (x >= 500 AND y >= 500)) AS inside FROM b")
+def point_in_polygon(spark, sf_dir):
+    shape = [(200, 100), (800, 100), (800, 500), (500, 500), (500, 900), (200, 900)]
+    return _beads(spark, sf_dir).select("sb", geometry.in_polygon(F.col("x"), F.col("y"), shape).alias("inside"))
+
+
+@query(f"WITH {_BEADS} SELECT sb, round(sqrt((x - 500) * (x - 500) + (y - 500) * (y - 500)), 6) AS r, round(atan2(y - 500, x - 500), 6) AS theta, round(((x - 100) * 300 + (y - 100) * 400) / 250000.0, 6) AS factor, round(abs(300 * (y - 100) - 400 * (x - 100)) / 500, 6) AS gap, sign(300 * (y - 100) - 400 * (x - 100)) AS side FROM b")
+def point_line_polar(spark, sf_dir):
+    x, y, a, b = F.col("x"), F.col("y"), (100.0, 100.0), (400.0, 500.0)
+    p = geometry.polar(x, y, 500, 500)
+    return _beads(spark, sf_dir).select("sb", F.round(p["r"], 6).alias("r"), F.round(p["theta"], 6).alias("theta"), F.round(geometry.projection(a, b, x, y), 6).alias("factor"), F.round(geometry.line_distance(a, b, x, y), 6).alias("gap"), geometry.side(a, b, x, y).cast("int").alias("side"))
+
+
+@query(f"""WITH {_BEADS}, v AS (SELECT sb % 50 AS k, sb, x, y FROM b), s AS (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0) AS seg FROM v WINDOW w AS (PARTITION BY k ORDER BY sb)), c AS (SELECT *, sum(seg) OVER (PARTITION BY k ORDER BY sb ROWS UNBOUNDED PRECEDING) AS cum FROM s),
+l AS (SELECT k, x, y, cum, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(cum) OVER w AS c1, sb FROM c WINDOW w AS (PARTITION BY k ORDER BY sb)), q AS (SELECT k, 1000.0 AS d FROM v GROUP BY k), h AS (SELECT q.k, q.d, x + (d - cum) / (c1 - cum) * (x1 - x) AS x, y + (d - cum) / (c1 - cum) * (y1 - y) AS y, row_number() OVER (PARTITION BY q.k ORDER BY sb) AS i FROM q JOIN l ON l.k = q.k AND c1 > cum AND d BETWEEN cum AND c1)
+SELECT k, round(x, 6) AS x, round(y, 6) AS y FROM h WHERE i = 1""")
+def polyline_lerp(spark, sf_dir):
+    b = _beads(spark, sf_dir).withColumn("k", F.col("sb") % 50)
+    wanted = b.select("k").distinct().withColumn("d", F.lit(1000.0))
+    return geometry.at_distances(b, wanted, "k", "sb").select("k", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
