@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -248,8 +250,6 @@ def downsampling_curve(hist: DataFrame, value: str = "reads", n: str = "n", step
 
 def thin(df: DataFrame, p: float, seed: int = 0, weight: str = "reads") -> DataFrame:
     """Counts replaced by binomial draws of probability p, zeros dropped; the same for a seed and a row."""
-    import numpy as np
-    import pandas as pd
 
     @F.pandas_udf("bigint")
     def draw(n: pd.Series, h: pd.Series) -> pd.Series:
