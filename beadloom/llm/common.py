@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,3 +77,19 @@ def sampled(df: DataFrame, share: Column | float, *keys: str, seed: int = 11) ->
     """Rows picked by a hash of the keys, each with the given probability; the same rows at every run."""
     span = 1 << 30
     return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(span)) < (share if isinstance(share, Column) else F.lit(share)) * span)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving its memory back to the machine at its end: workers live on idle while later stages need memory."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        from beadloom.llm import words
+
+        words.forget()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.llm import words
-from beadloom.llm.common import read, slices, stash
+from beadloom.llm.common import read, slices, stash, tidy
 from beadloom.llm.graph import components
 
 #: n-grams that the sets of one task may hold together; larger buckets are searched in pairs of blocks.
@@ -180,7 +180,7 @@ def _tokens_of(df: DataFrame, n: int, extra: list[str]) -> DataFrame:
             sets = shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], n)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in extra), pa.array([s.tobytes() for s in sets], pa.binary())], names=[*extra, "tokens"])
 
-    return df.mapInArrow(run, f"{fields}, tokens binary")
+    return df.mapInArrow(tidy(run), f"{fields}, tokens binary")
 
 
 def _profiles(df: DataFrame, n: int, percent: int) -> DataFrame:
@@ -197,7 +197,7 @@ def _profiles(df: DataFrame, n: int, percent: int) -> DataFrame:
             prefix = pa.array([s[: prefix_size(len(s), percent)].view(np.int64) for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size), pa.array(d1), pa.array(d2), prefix], names=["id", "n", "d1", "d2", "prefix"])
 
-    return df.mapInArrow(run, "id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
+    return df.mapInArrow(tidy(run), "id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
 
 
 def _run_buckets(df: DataFrame, percent: int) -> DataFrame:
@@ -222,7 +222,7 @@ def _run_buckets(df: DataFrame, percent: int) -> DataFrame:
         if len(ids) > 1:
             yield done()
 
-    return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "id bigint, root bigint")
+    return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), "id bigint, root bigint")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:

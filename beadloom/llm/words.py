@@ -31,8 +31,13 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return table(_P), table(_INVERSE)
 
 
+def forget() -> None:
+    """Drops the tables that are kept between calls."""
+    _powers.cache_clear()
+
+
 def _bits(n: int) -> int:
-    return max(22, int(n).bit_length())
+    return max(20, int(n).bit_length())
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
