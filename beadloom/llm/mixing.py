@@ -67,7 +67,7 @@ def exponent(sources: DataFrame, max_repeats: float | None = None, entropy: floa
 
 
 def mix(df: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget: int | None = None, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """df with its rows as often as the mixture takes them, and epoch (int, from 0) and position (double) added.
+    """df with its rows as often as the mixture takes them, and epoch (int, from 0) and position (double, about 0 to 1) added.
 
     Without a budget (in tokens), every document comes at least once, as the budget is the smallest that allows it;
     with a smaller one, sources are cut as the weights ask. Ordered by position, the rows are the mixed stream: each
