@@ -76,3 +76,8 @@ def min_max(x: str) -> Column:
     everything = Window.partitionBy()
     low, high = F.min(x).over(everything), F.max(x).over(everything)
     return F.try_divide(F.col(x) - low, high - low)
+
+
+def natural_order(label: Column) -> Column:
+    """A sort key by which numbers within labels count as numbers: the first number (none first), then the text."""
+    return F.struct(F.regexp_extract(label, r"^[^0-9]*", 0).alias("head"), F.coalesce(F.nullif(F.regexp_extract(label, "[0-9]+", 0), F.lit("")).cast("bigint"), F.lit(-1)).alias("number"), label.alias("label"))

@@ -45,3 +45,19 @@ def call_cells(table: DataFrame, inputs: list[str], label: str, rounds: int = 50
 
     steps = [VectorAssembler(inputCols=inputs, outputCol="_v"), StandardScaler(inputCol="_v", outputCol="_s", withMean=True), LinearSVC(featuresCol="_s", labelCol=label, predictionCol="is_cell", maxIter=rounds)]
     return Pipeline(stages=steps).fit(table.filter(F.col(label).isNotNull())).transform(table).drop("_v", "_s", "rawPrediction")
+
+
+def principal(counts: DataFrame, k: int = 50, genes: int = 2000) -> DataFrame:
+    """(cell, pcs): the first k principal components of log-normalised counts over the genes of greatest variance."""
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import array_to_vector
+
+    w = log_normalised(counts)
+    n = counts.select("cell").distinct().count()
+    spread = w.groupBy("gene").agg((F.sum(F.col("w") * F.col("w")) / n - F.pow(F.sum("w") / n, 2)).alias("v"))
+    top = [r["gene"] for r in spread.orderBy(F.desc("v"), "gene").limit(genes).collect()]  # at most `genes` names
+    wide = w.filter(F.col("gene").isin(top)).groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("gene", "w"))).alias("m"))
+    row = array_to_vector(F.array(*(F.coalesce(F.try_element_at("m", F.lit(g)), F.lit(0.0)) for g in top)))
+    vectors = wide.select("cell", row.alias("_v"))
+    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True).fit(vectors).transform(vectors)
+    return PCA(k=min(k, len(top)), inputCol="_s", outputCol="pcs").fit(scaled).transform(scaled).select("cell", "pcs")

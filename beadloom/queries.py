@@ -682,3 +682,59 @@ def polyline_lerp(spark, sf_dir):
     b = _beads(spark, sf_dir).withColumn("k", F.col("sb") % 50)
     wanted = b.select("k").distinct().withColumn("d", F.lit(1000.0))
     return geometry.at_distances(b, wanted, "k", "sb").select("k", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+# --- shown tables ---
+
+
+@query("SELECT s_suppkey, round((s_acctbal - min(s_acctbal) OVER ()) / (max(s_acctbal) OVER () - min(s_acctbal) OVER ()), 6) AS scaled FROM supplier")
+def min_max_scale(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.round(text.min_max("s_acctbal"), 6).alias("scaled"))
+
+
+@query(f"WITH {_BEADS} SELECT CAST(floor(x / 50) AS BIGINT) AS bx, CAST(floor(y / 50) AS BIGINT) AS by, count(*) AS n FROM b GROUP BY 1, 2")
+def binned_counts(spark, sf_dir):
+    return stats.binned(_beads(spark, sf_dir), "x", "y", 50)
+
+
+@query("WITH r AS (SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS k, count(*) OVER () AS n FROM supplier) SELECT s_suppkey, s_acctbal, p AS share FROM r, (SELECT unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS p) WHERE round_even(p * n, 0) = k")
+def quantile_rows(spark, sf_dir):
+    return stats.quantile_rows(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), "s_acctbal", [0.1, 0.5, 0.9])
+
+
+@query("SELECT event_type, n, round(1 - sum(n) OVER (ORDER BY event_type ROWS UNBOUNDED PRECEDING) / sum(n) OVER (), 6) AS \"left\" FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)")
+def running_funnel(spark, sf_dir):
+    e = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    return stats.running_funnel(e, "event_type", "n").select("event_type", "n", F.round("left", 6).alias("left"))
+
+
+@query("SELECT 'recon_puck_' || n_name || '_' || n_nationkey || '_run' || n_regionkey || '.csv' AS name, right(CAST(n_nationkey AS VARCHAR), 30) || chr(10) || right('run' || n_regionkey, 30) AS short FROM nation")
+def puck_names(spark, sf_dir):
+    name = F.concat(F.lit("recon_puck_"), "n_name", F.lit("_"), "n_nationkey", F.lit("_run"), "n_regionkey", F.lit(".csv"))
+    return table(spark, sf_dir, "nation").select(name.alias("name"), text.trim_puck_name(name).alias("short"))
+
+
+@query("SELECT p_brand AS label, row_number() OVER (ORDER BY regexp_extract(p_brand, '^[^0-9]*'), CAST(regexp_extract(p_brand, '[0-9]+') AS BIGINT), p_brand) AS place FROM (SELECT DISTINCT p_brand FROM part)")
+def natural_sort(spark, sf_dir):
+    from pyspark.sql import Window
+
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("label")).distinct()
+    return brands.select("label", F.row_number().over(Window.orderBy(text.natural_order(F.col("label")))).alias("place"))
+
+
+@query("SELECT '/b/run' || n_regionkey || '/fastqs/' || n_name || '_S' || n_nationkey || '.gz' AS path, 'run' || n_regionkey AS run, n_name || '_S' || n_nationkey || '.gz' AS file, split_part(n_name || '_S' || n_nationkey || '.gz', '_S', 1) AS sample FROM nation")
+def parsed_paths(spark, sf_dir):
+    path = F.concat(F.lit("/b/run"), "n_regionkey", F.lit("/fastqs/"), "n_name", F.lit("_S"), "n_nationkey", F.lit(".gz"))
+    return bookkeeping.parsed_paths(table(spark, sf_dir, "nation").select(path.alias("path"))).select("path", "run", "file", "sample")
+
+
+@query("""WITH r AS (SELECT CAST(l_suppkey AS VARCHAR) AS cb, CAST(l_orderkey % 50 AS VARCHAR) AS ub, l_returnflag AS rname, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS strand, l_linenumber AS q FROM lineitem),
+g AS (SELECT cb, ub, rname, strand, count(*) AS reads, sum(q) AS q FROM r GROUP BY ALL), w AS (SELECT *, max(reads) OVER (PARTITION BY cb, ub) AS m, count(*) OVER (PARTITION BY cb, ub, reads) AS c FROM g)
+SELECT row_number() OVER (ORDER BY cb, ub) AS umi, cb, ub, rname, strand, reads, CAST((q + reads // 2) // reads AS BIGINT) AS mapq_avg FROM w WHERE reads = m AND c = 1""")
+def umi_consensus(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_linestatus") == "F", 16).otherwise(0)
+    data = li.select(F.monotonically_increasing_id().alias("read"), flag.alias("flag"), F.col("l_returnflag").alias("rname"), F.col("l_linenumber").alias("mapq"), F.col("l_suppkey").cast("string").alias("cb"), (F.col("l_orderkey") % 50).cast("string").alias("ub"))
+    none = lambda fields: spark.createDataFrame([], fields)
+    children = {"match": none("read bigint, start bigint, end bigint"), "snv": none("read bigint, pos bigint, ref int, alt int, qual int"), "ins": none("read bigint, pos bigint, str string"), "del": none("read bigint, pos bigint, len bigint")}
+    return variants.collapse_umis({"data": data, **children})["data"]

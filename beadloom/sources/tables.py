@@ -17,17 +17,19 @@ def read_pucks(spark: SparkSession, path: str, most: int = 3) -> DataFrame:
 
 def read_matrix_market(spark: SparkSession, matrix: str, features: str, barcodes: str) -> DataFrame:
     """(gene, cell, n) of a MatrixMarket file with its feature and barcode lists (tab separated, first column)."""
-    rows = spark.read.text(matrix).filter(~F.startswith("value", F.lit("%"))).select(F.split(F.trim("value"), r"\s+").alias("v"))
-    size = spark.read.text(matrix).filter(~F.startswith("value", F.lit("%"))).limit(1).first()[0].split()
-    entries = rows.select(*(F.col("v")[k].cast("bigint").alias(c) for k, c in enumerate("ijn")))
-    # the first row gives the sizes; it can only be told from an entry of the same numbers by coming first
-    entries = entries.exceptAll(spark.createDataFrame([tuple(map(int, size))], "i bigint, j bigint, n bigint"))
+    lines = spark.read.text(matrix).filter(~F.startswith("value", F.lit("%")))
+    height, width, stored = map(int, lines.first()[0].split())
+    v = F.split(F.trim("value"), r"\s+")
+    entries = lines.select(*(v[k].cast("bigint").alias(c) for k, c in enumerate("ijn"))).groupBy("i", "j").agg(F.sum("n").alias("n"))
+    # the line of sizes reads as one more entry of the last row and column
+    last = (F.col("i") == height) & (F.col("j") == width)
+    entries = entries.withColumn("n", F.when(last, F.col("n") - stored).otherwise(F.col("n"))).filter("n <> 0")
     return entries.join(read_list(spark, features, "gene").withColumnRenamed("line", "i"), "i").join(read_list(spark, barcodes, "cell").withColumnRenamed("line", "j"), "j").select("gene", "cell", "n")
 
 
 def read_list(spark: SparkSession, path: str, column: str) -> DataFrame:
     """(line, column): the first field of each line with its number from 1. A whole file is one row while it is cut."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     lines = F.filter(F.split("value", r"\r?\n"), lambda s: s != "")
     return text.select(F.posexplode(lines).alias("_p", "_v")).select((F.col("_p") + 1).cast("bigint").alias("line"), F.substring_index("_v", "\t", 1).alias(column))
 
