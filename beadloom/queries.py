@@ -184,7 +184,7 @@ def pair_waterfall(spark, sf_dir):
     return reads.counters(flagged, [f"R{k}_{n}" for n in ("tooshort", "no_UP", "GG_UP", "homopolymer_UMI", "homopolymer_SB") for k in (1, 2)])
 
 
-@query(f"SELECT sum((substr(r, 9, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V10, sum((substr(r, 16, 10) = 'CTGTTTCCTG')::INT) AS V15, sum((substr(r, 18, 10) = 'CTGTTTCCTG')::INT) AS V16, sum((substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V17, sum((substr(r, 10, 10) = 'TCTTCAGCGT')::INT) - sum((substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA')::INT) AS V19 FROM (SELECT {_R2} AS r FROM lineitem)")
+@query(f"SELECT count(*) FILTER (WHERE substr(r, 9, 18) = 'TCTTCAGCGTTCCCGAGA') AS V10, count(*) FILTER (WHERE substr(r, 16, 10) = 'CTGTTTCCTG') AS V15, count(*) FILTER (WHERE substr(r, 18, 10) = 'CTGTTTCCTG') AS V16, count(*) FILTER (WHERE substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA') AS V17, count(*) FILTER (WHERE substr(r, 10, 10) = 'TCTTCAGCGT') - count(*) FILTER (WHERE substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA') AS V19 FROM (SELECT {_R2} AS r FROM lineitem)")
 def bead_votes(spark, sf_dir):
     return reads.bead_votes(_reads(spark, sf_dir), "r2", first=10**9)
 
