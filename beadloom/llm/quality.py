@@ -108,13 +108,27 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.hstack([own, before, after, head[:, None], tail[:, None]]), size, counts
 
 
+def _in_parts(texts: list[str], part: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """line_features() of many texts, made from about `part` characters at a time."""
+    found, own, size = [], [], 0
+    for text in texts:
+        own.append(text)
+        size += len(text)
+        if size > part:
+            found.append(line_features(own))
+            own, size = [], 0
+    if own or not found:
+        found.append(line_features(own))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _x(features: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.hstack([np.clip((features - mean) / scale, -6, 6), np.ones((len(features), 1))])
 
 
 def good_lines(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(probability of good, bytes) of each line that isn't blank, and the number of lines of each text."""
-    features, size, counts = line_features(texts)
+    features, size, counts = _in_parts(texts)
     if not len(features):
         return np.empty(0), size, counts
     scores = _x(features, model.mean, model.scale) @ model.weights
@@ -138,7 +152,7 @@ def train(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
     if len({y for _, y in rows}) < 2:
         return None
     texts, y = [t for t, _ in rows], np.array([y for _, y in rows])
-    features, size, counts = line_features(texts)
+    features, size, counts = _in_parts(texts)
     some = counts > 0
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-3
     x = crf.Dense(_x(features, mean, scale))
