@@ -13,6 +13,8 @@ MIN_SITES = 8
 MIN_CHARS = 20
 #: Estimates within this share of the threshold are counted exactly.
 BAND = 0.35
+#: Bytes of lines to remove, about, up to which they are broadcast; more are joined to the texts by a shuffle.
+MAX_BROADCAST = 16 << 20
 #: log2 of a sketch's registers; the standard error, 1.04 / sqrt(2^10), is a tenth of BAND.
 LG_K = 10
 
@@ -59,9 +61,12 @@ def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_
     lines = occurrences(df, id_col, text, site, min_chars)
     found = stash(boilerplate(lines, min_sites), "boilerplate")
     hits = stash(lines.join(found, "h").select("h", "id", "t", "pos"), "hits")
-    first = hits.groupBy("h").agg(F.min(F.struct("id", "pos", "t")).alias("_f"))
+    first = stash(hits.groupBy("h").agg(F.min(F.struct("id", "pos", "t")).alias("_f")), "first")  # apart, so that a hot line's rows can be split in the join
     gone = hits.join(first, "h").filter(~(F.col("id").eqNullSafe(F.col("_f.id")) & (F.col("pos") == F.col("_f.pos")) & (F.col("t") == F.col("_f.t"))))
     gone = stash(gone.groupBy(F.col("id").alias("_id"), F.col("t").alias("_t")).agg(F.collect_set("pos").alias("_gone")), "gone")
+    rows, positions = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
+    if 64 * rows + 4 * positions <= MAX_BROADCAST:
+        gone = F.broadcast(gone)
     out = df.withColumn("_h", F.xxhash64(text)).join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_t")), "left")
     left = F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), F.col("_gone"))
     cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.get(_lines(text), i)), "\n"))
