@@ -32,7 +32,7 @@ BUCKET_TOKENS = 3_000_000
 #: More nodes than this are joined to their texts by a shuffle instead of a broadcast (16 bytes a node).
 MAX_BROADCAST_NODES = 1_000_000
 #: Percentage points of a set that its prefix has beyond what the threshold lets linked sets differ by.
-SLACK = 5
+SLACK = 10
 #: Cost of a probe against a merge step in choosing how many long lists to skip.
 MU = 0.0085
 
