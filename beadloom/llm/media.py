@@ -66,15 +66,21 @@ def peaks(samples: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(payload: bytes) -> np.ndarray:
-    """Time-coded pairs of spectral peaks: frame << 32 | bin << 20 | later bin << 8 | frames between, sorted."""
-    found = peaks(np.frombuffer(payload, np.uint8))
+    """Time-coded pairs of spectral peaks: frame << 32 | bin << 20 | later bin << 8 | frames between, sorted.
+
+    Peaks of one frame are paired too (0 between, the lower bin first), so that one frame is enough. Frames are centred
+    on multiples of HOP, with padding beyond both ends: the window is near 0 at its edges, where a short text would go
+    unheard. A payload without peaks (padding alone, or one sign repeated) has no pairs, and the shortest texts, a few
+    bytes in one window, can share theirs.
+    """
+    found = peaks(np.pad(np.frombuffer(payload, np.uint8), FRAME // 2, constant_values=PAD))
     parts = []
-    for ahead in range(1, AHEAD + 1):
+    for ahead in range(AHEAD + 1):
         if len(found) <= ahead:
             break
-        a, b = found[:-ahead, :, None], found[ahead:, None, :]
+        a, b = found[: len(found) - ahead, :, None], found[ahead:, None, :]
         code = (np.arange(len(a), dtype=np.int64)[:, None, None] << 32) | (a << 20) | (b << 8) | ahead
-        parts.append(code[(a >= 0) & (b >= 0)])
+        parts.append(code[(a >= 0) & (b >= 0) & ((ahead > 0) | (a < b))])
     return np.sort(np.concatenate(parts)) if parts else np.empty(0, np.int64)
 
 

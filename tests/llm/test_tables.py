@@ -123,6 +123,14 @@ def test_peaks_against_a_plain_transform():
     assert (np.diff(code) >= 0).all() and ((code & 255) <= media.AHEAD).all()
 
 
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    texts = ["", None, "A.", "This.", "That one.", "The last letter of a text of one whole frame counts. " * 11 + "end.", "A short text of one frame.", "A short text of one frame!", "long " * 200]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [r["feature"] for r in media.digests(media.read_wav(media.store_wav(df))).orderBy("doc_id").collect()]
+    assert got[0] == got[1] and len(set(got[1:])) == len(texts) - 1
+    assert [k for k, f in enumerate(got) if f.startswith("0-")] == [0, 1]
+
+
 # --- top-k ---
 
 
