@@ -9,8 +9,10 @@ from beadloom.llm.common import read, stash
 
 #: A line on at least this many sites, in at least as many different texts, is boilerplate.
 MIN_SITES = 8
-#: Shorter lines (in characters, trimmed) are never boilerplate.
-MIN_CHARS = 20
+#: Shorter lines (in characters, trimmed) are never boilerplate. 1: every line that isn't blank is judged by its spread.
+MIN_CHARS = 1
+#: The op6 query looks at lines of as many characters as its SQL does.
+OP6_MIN_CHARS = 20
 #: Estimates within this share of the threshold are counted exactly.
 BAND = 0.35
 #: Bytes of lines to remove, about, up to which they are broadcast; more are joined to the texts by a shuffle.
@@ -27,7 +29,10 @@ def occurrences(df: DataFrame, id_col: str, text: str, site: str, min_chars: int
     """(id, t, site, pos, h): a row for each line that could be boilerplate; t is a hash of the whole text."""
     lines = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.col(site).alias("site"), F.posexplode(_lines(text)).alias("pos", "line"))
     line = F.trim("line")
-    return lines.filter((F.length(line) >= min_chars) & F.col("site").isNotNull()).select("id", "t", "site", "pos", F.xxhash64(line).alias("h"))
+    judged = F.length(line) >= min_chars
+    if min_chars <= 1:
+        judged = judged & line.rlike(r"\S")  # lines of tabs or returns are blank too
+    return lines.filter(judged & F.col("site").isNotNull()).select("id", "t", "site", "pos", F.xxhash64(line).alias("h"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -51,11 +56,12 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """df with its text freed of cross-site boilerplate, and n_lines and n_removed (bigint) added.
 
-    A boilerplate line stays where it comes first (smallest id, then position) and goes everywhere else; all other
-    lines keep their order. Lines are equal when they are so after trimming spaces. Copies of one text count as one
-    text, so a line that only whole copies share isn't boilerplate. A null text has no lines and stays null; rows with
-    a null site keep all their lines and count for no site; rows with a null id come before all others. Repeated rows
-    are treated alike. An empty df gives an empty result. Columns of df named n_lines or n_removed are replaced.
+    A boilerplate line stays where it comes first (smallest id, then position) and goes everywhere else; all other lines
+    keep their order. Lines of fewer than min_chars characters stay; with 1 only blank ones are exempt. Lines are equal
+    when they are so after trimming spaces. Copies of one text count as one text, so a line that only whole copies share
+    isn't boilerplate. A null text has no lines and stays null; rows with a null site keep all their lines and count for
+    no site; rows with a null id come before all others. Repeated rows are treated alike. An empty df gives an empty
+    result. Columns of df named n_lines or n_removed are replaced.
     """
     df = df.drop("n_lines", "n_removed")
     lines = occurrences(df, id_col, text, site, min_chars)
@@ -76,7 +82,7 @@ def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup_lines(read(spark, sf_dir, "documents"), min_chars=OP6_MIN_CHARS).select("doc_id", "n_lines", "n_removed", "text")
 
 
 OP6_SQL = """

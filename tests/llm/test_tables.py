@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from beadloom.llm import line_dedup, media, mixing, packing, topk, url_filter
 
 
@@ -217,6 +218,16 @@ def test_lines_against_a_plain_version(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_short_lines_are_judged_by_spread(spark):
+    docs = [(k, f"Own line {k}\nRead more\n \n\t\r\n}}\nNot on many sites {k // 3}", f"s{k % 9}") for k in range(40)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    assert got[0]["text"] == docs[0][1] and got[0]["n_removed"] == 0
+    assert all(got[k]["text"] == f"Own line {k}\n \n\t\r\nNot on many sites {k // 3}" and got[k]["n_removed"] == 2 for k in range(1, 40))
+    assert line_dedup.dedup_lines(df, min_chars=20).filter("n_removed > 0").count() == 0
+    assert {r["text"] for r in corpus_pipeline.dedup_lines(spark, df.withColumn("n_chars", F.length("text")), "").collect()} == {r["text"] for r in got.values()}
+
+
 # --- mixing ---
 
 
