@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,9 +22,9 @@ TRAIN_UNLABELLED = 6000
 TRAIN_CHARS = 40_000
 #: Word beginnings of these lengths are features beside whole words.
 STEMS = (4, 5, 6, 7, 8)
-#: A feature is picked if this many toxic documents at least have it, it is this many times as frequent in them, and
-#: their number lies this many standard deviations above what the unlabelled sample lets expect.
-LEAST, TIMES, DEVIATIONS = 6, 3.0, 6.0
+#: A feature is picked if this many toxic documents at least have it (a third of them, if fewer), it is this many times as
+#: frequent in them as in the unlabelled sample, and among all features tested less than this many would be so by chance.
+LEAST, TIMES, BY_CHANCE = 6, 3.0, 1.0
 FEATURES = 4000
 THRESHOLD = 0.3
 
@@ -78,10 +79,17 @@ def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], width: int, prior: float,
     return mean, float(b)
 
 
+def surprise(k: int, n: int, p: float) -> float:
+    """Chernoff's bound: k or more of n draws of probability p, with k / n >= p, have a probability of exp(-this) at most."""
+    q, p = k / n, min(p, 1 - 1e-9)
+    return n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0))
+
+
 def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model | None:
     """A model from confirmed toxic texts and unlabelled ones (drawn from all); None without toxic texts.
 
-    Equal toxic texts count once. Features are picked by their document frequencies in both samples.
+    Equal toxic texts count once. Features are picked by their document frequencies in both samples, and
+    the test of their significance goes by the number of toxic texts, so that about ten of them can be enough.
     """
     toxic, unlabelled = sorted({t for t in toxic if t}), sorted(t for t in unlabelled if t)
     if not toxic or not unlabelled:
@@ -94,8 +102,9 @@ def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model | None
     often = {f for f, n in in_toxic.items() if n >= min(LEAST, max(1, len(toxic) // 3))}
     rest = [found(t) & often for t in unlabelled]
     in_rest = Counter(f for r in rest for f in r)
-    expected = {f: len(toxic) * (in_rest[f] + 0.5) / len(unlabelled) for f in often}
-    sure = (f for f in often if in_toxic[f] >= max(TIMES * expected[f], expected[f] + DEVIATIONS * (1 + expected[f]) ** 0.5))
+    rate = {f: (in_rest[f] + 0.5) / len(unlabelled) for f in often}
+    enough = math.log(max(1, len(often)) / BY_CHANCE)
+    sure = (f for f in often if in_toxic[f] >= TIMES * len(toxic) * rate[f] and surprise(in_toxic[f], len(toxic), rate[f]) >= enough)
     names = sorted(sure, key=lambda f: (-in_toxic[f], f))[:FEATURES]
     number = {f: k for k, f in enumerate(names)}
     pick = lambda r: np.array(sorted(number[f] for f in r if f in number), np.int64)

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import numpy as np
@@ -138,6 +139,26 @@ def test_toxicity_edges(spark):
     assert {r["score"] for r in toxicity.predict(df, None).collect()} == {0.0}
 
 
+def test_toxicity_from_ten_labels():
+    rng = random.Random(4)
+    base = [f"w{chr(97 + k)}{c}" for k in range(20) for c in "xyz"]
+    clean = [" ".join(rng.choice(base) for _ in range(12)) for _ in range(150)]
+    toxic = [c + (" vilewort" if k % 2 else " foulwort") for k, c in enumerate(clean[:10])]
+    model = toxicity.train(toxic, clean[10:] + toxic, 0.1)
+    assert {"w:vilewort", "w:foulwort"} <= set(model.weights) and sum(f[2:] in base for f in model.weights) <= 2
+    scores = toxicity.Scorer(model).scores(["a fine day", "such vilewort", "such foulwort"])
+    assert scores[0] < toxicity.THRESHOLD <= min(scores[1:])
+    hits = [math.comb(9, k) * 0.03**k * 0.97 ** (9 - k) for k in range(10)]
+    assert all(sum(hits[k:]) <= 1.000001 * math.exp(-toxicity.surprise(k, 9, 0.03)) for k in range(1, 10))
+
+
+def test_toxicity_of_a_small_table(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = toxicity.op3_toxicity(spark, "/root/testdata/sf0.001").join(labels, "doc_id")
+    assert got.filter("toxic = 1 AND predicted = 1").count() >= 5
+    assert got.filter("toxic = 0 AND predicted = 1").count() == 0
+
+
 def test_risk_estimator_stays_non_negative():
     rng = np.random.default_rng(3)
     x_p = [np.array([0])] * 20 + [np.array([k]) for k in range(1, 10)]
