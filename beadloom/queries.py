@@ -496,6 +496,12 @@ def largest_component(spark, sf_dir):
     return graph.largest_component(_edges(spark, sf_dir).filter("dist < 0.02").select("src", "dst"))
 
 
+@query()
+def largest_component_all(spark, sf_dir):
+    """On all edges; recursive SQL would be too slow there. largest_component keeps only those that its SQL keeps."""
+    return graph.largest_component(_edges(spark, sf_dir).select("src", "dst"))
+
+
 _MEAN = "SELECT c.id, coalesce(n.x, c.x) AS x, coalesce(n.y, c.y) AS y FROM {0} c LEFT JOIN (SELECT e.src AS id, sum((1 - dist) * q.x) / sum(1 - dist) AS x, sum((1 - dist) * q.y) / sum(1 - dist) AS y FROM e JOIN {0} q ON q.id = e.dst GROUP BY e.src) n ON n.id = c.id"
 
 

@@ -204,3 +204,31 @@ def test_geometry(spark):
     assert geometry.grid_width(grid) == 2.0 and len(geometry.grid_perimeter(grid)) == 14
     assert len(geometry.grid_lines(grid)) == 9 and geometry.smooth(np.array([[0, 0], [1, 1], [2, 0.0]])).shape == (41, 2)
     assert geometry.grid_greedy(np.array([[0, 0], [0, 9.0]]), np.array([[3, 0], [3, 9.0]]), 4, 5).shape == (20, 4)
+
+
+def test_largest_component_against_brute_force(spark):
+    from beadloom import queries
+
+    def brute(edges):
+        root = {n: n for e in edges for n in e}
+
+        def find(n):
+            while root[n] != n:
+                n = root[n]
+            return n
+
+        for a, b in edges:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        of = {n: find(n) for n in root}
+        sizes = {r: sum(x == r for x in of.values()) for r in set(of.values())}
+        best = min(sizes, key=lambda r: (-sizes[r], r))
+        return sorted(e for e in edges if of[e[0]] == best)
+
+    rng = random.Random(13)
+    edges = sorted({(a, b) for a, b in ((rng.randrange(120), rng.randrange(120)) for _ in range(60)) if a != b})
+    small = spark.createDataFrame(edges, "src bigint, dst bigint")
+    assert sorted(map(tuple, graph.largest_component(small).collect())) == brute(edges)
+    sf = "/root/testdata/sf0.001"
+    every = [tuple(r) for r in queries._edges(spark, sf).select("src", "dst").collect()]
+    assert sorted(map(tuple, queries.queries()["largest_component_all"](spark, sf).collect())) == brute(every)
