@@ -610,6 +610,12 @@ def group_zero_fill(spark, sf_dir):
     return stats.zero_filled(table(spark, sf_dir, "customer").filter("c_custkey % 7 = 0").select((F.col("c_custkey") % 120).alias("group")), "group", 96)
 
 
+@query("SELECT g AS \"group\", coalesce(n, 0) AS n FROM (SELECT unnest(range(1, 145)) AS g) LEFT JOIN (SELECT c_custkey % 120 + 1 AS k, count(*) AS n FROM customer GROUP BY 1) ON k = g")
+def group_zero_fill_all(spark, sf_dir):
+    """All customers, in groups 1 to 120 of a range that goes on to 144."""
+    return stats.zero_filled(table(spark, sf_dir, "customer").select((F.col("c_custkey") % 120 + 1).alias("group")), "group", 144)
+
+
 @query("SELECT cell, rank, tag_idx, n AS count FROM (SELECT user_id % 97 AS cell, event_id % 30 AS tag_idx, count(*) AS n, row_number() OVER (PARTITION BY user_id % 97 ORDER BY count(*) DESC, event_id % 30 DESC) AS rank FROM events GROUP BY ALL) WHERE rank <= 4".replace("GROUP BY ALL", "GROUP BY 1, 2"))
 def k_largest(spark, sf_dir):
     return stats.k_largest(_tag_counts(spark, sf_dir), "cell", "tag_idx", "count", 4)

@@ -232,3 +232,12 @@ def test_largest_component_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     every = [tuple(r) for r in queries._edges(spark, sf).select("src", "dst").collect()]
     assert sorted(map(tuple, queries.queries()["largest_component_all"](spark, sf).collect())) == brute(every)
+
+
+def test_zero_fill_counts_all_rows(spark):
+    from beadloom import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = {r["group"]: r["n"] for r in queries.queries()["group_zero_fill_all"](spark, sf).collect()}
+    assert sum(got.values()) == spark.read.parquet(f"{sf}/customer.parquet").count()
+    assert sorted(got) == list(range(1, 145)) and [g for g, n in got.items() if n == 0 and g <= 120] == [] and all(got[g] == 0 for g in range(121, 145))
