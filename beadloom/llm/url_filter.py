@@ -19,6 +19,9 @@ from beadloom.llm.common import read
 #: More rules than this are not broadcast but joined by host suffix.
 MAX_BROADCAST_RULES = 200_000
 
+#: Parts in which URLs look up the rules of joined tables that have an empty host.
+ANY_HOST_PARTS = 64
+
 #: The rule set of the op10 query: (host, path, verdict).
 RULES = (
     ("org", "/", "allow"),
@@ -76,10 +79,10 @@ def sweep(keys: Sequence[tuple[str, str]], rules: list[tuple[str, list[tuple[str
 
 
 def prepared(rules: Sequence[tuple[str, str, str]]) -> list[tuple[str, list[tuple[str, str, str]]]]:
-    """Rules by sorted reversed host. Of equal (host, path) the first verdict in sorted order counts."""
+    """Rules by sorted reversed host, in lower case. Of equal (host, path) the first verdict in sorted order counts."""
     by: dict[str, dict[str, str]] = {}
-    for host, path, verdict in sorted(rules):
-        by.setdefault(host.lower(), {}).setdefault(path, verdict)
+    for host, path, verdict in sorted((host.lower(), path, verdict) for host, path, verdict in rules):
+        by.setdefault(host, {}).setdefault(path, verdict)
     return sorted((reversed_host(h), [(p, h + p, v) for p, v in sorted(own.items())]) for h, own in by.items())
 
 
@@ -123,7 +126,12 @@ def _by_suffix(df: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     keys = df.select("host", "path").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hit = keys.filter("host <> ''").select("host", "path", F.explode(suffixes).alias("_h")).join(rules, "_h").filter(F.startswith("path", "_p"))
+    # a rule with an empty host fits every URL, so those are dealt over several tasks
+    suffixes = F.array_union(suffixes, F.array(F.lit("")))
+    dealt = F.when(F.col("_h") == "", F.pmod(F.xxhash64("host", "path"), F.lit(ANY_HOST_PARTS))).otherwise(F.lit(0)).cast("int")
+    every = F.when(F.col("_h") == "", F.sequence(F.lit(0), F.lit(ANY_HOST_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    looked = keys.select("host", "path", F.explode(suffixes).alias("_h")).withColumn("_s", dealt)
+    hit = looked.join(rules.withColumn("_s", F.explode(every)), ["_h", "_s"]).filter(F.startswith("path", "_p"))
     text = F.concat("_h", "_p")
     best = hit.groupBy("host", "path").agg(F.max_by(F.struct(text.alias("rule"), F.col("_v").alias("verdict")), F.struct(F.length(text), F.length("_h"))).alias("_b"))
     best = best.select("host", "path", "_b.*").withColumnRenamed("verdict", "_w")

@@ -189,6 +189,17 @@ def test_url_rules(spark, monkeypatch):
     assert url_filter.apply_rules(df.limit(0), rules).count() == 0
 
 
+def test_url_rules_are_the_same_by_both_paths(spark, monkeypatch):
+    urls = ["http://b.com/x", "http://a.b.com/y/1", "http://net/x", "http://net./x", "http:///x", "no scheme", None, "http://c.org/"]
+    rules = [("", "/x", "block"), ("", "/", "review"), ("B.com", "/y", "block"), ("b.com", "/y", "allow"), ("c.org", "/", "block"), ("C.ORG", "/", "zap"), ("C.org", "/", "allow")]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id bigint, url string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    swept = rows(url_filter.apply_rules(df, table), "page_id", "rule", "verdict")
+    monkeypatch.setattr(url_filter, "MAX_BROADCAST_RULES", 2)
+    assert rows(url_filter.apply_rules(df, table), "page_id", "rule", "verdict") == swept
+    assert [(r, v) for _, r, v in swept] == [("/x", "block"), ("b.com/y", "allow"), ("/x", "block"), ("/x", "block"), ("/x", "block"), (None, "allow"), (None, "allow"), ("c.org/", "allow")]
+
+
 # --- lines ---
 
 
