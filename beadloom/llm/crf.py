@@ -76,17 +76,29 @@ class Dense:
 
 
 class Sparse:
-    """Emission features as numbers of ones (positions x slots); the number `width` stands for no feature."""
+    """Emission features as numbers of ones (positions x slots); the number `width` stands for no feature.
 
-    def __init__(self, ones: np.ndarray, width: int):
-        self.ones, self.width = ones, width
+    more: the further features of those few positions that have more than the slots hold.
+    """
+
+    def __init__(self, ones: np.ndarray, width: int, more: dict[int, np.ndarray] | None = None):
+        self.ones, self.width, self.more = ones, width, more or {}
+
+    def _long(self, rows: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        return [(k, self.more[r]) for k, r in enumerate(rows.tolist()) if r in self.more] if self.more else []
 
     def scores(self, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return np.vstack([weights, np.zeros(weights.shape[1])])[self.ones[rows]].sum(axis=1)
+        out = np.vstack([weights, np.zeros(weights.shape[1])])[self.ones[rows]].sum(axis=1)
+        for k, own in self._long(rows):
+            out[k] += weights[own].sum(axis=0)
+        return out
 
     def gradient(self, rows: np.ndarray, g: np.ndarray) -> np.ndarray:
         at = self.ones[rows].ravel()
-        return np.stack([np.bincount(at, np.repeat(g[:, k], self.ones.shape[1]), self.width + 1)[: self.width] for k in range(g.shape[1])], axis=1)
+        out = np.stack([np.bincount(at, np.repeat(g[:, k], self.ones.shape[1]), self.width + 1)[: self.width] for k in range(g.shape[1])], axis=1)
+        for k, own in self._long(rows):
+            np.add.at(out, own, g[k])
+        return out
 
 
 def _gradient(scores: np.ndarray, gold: np.ndarray, lengths: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

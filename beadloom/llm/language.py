@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,8 +25,10 @@ LEXICON = 300
 #: Code-switched training chains, and words of one at most.
 CHAINS = 5000
 CHAIN_WORDS = 40
-#: Characters of a word that features look at: its first and last ones.
+#: Words of over HEAD + TAIL characters keep their first and last ones in the slots; long_features() has the rest.
 HEAD, TAIL = 12, 8
+#: Starts of n-grams of a long word that are hashed at a time.
+WINDOW = 1 << 16
 #: Distinct words that a worker keeps scores of.
 CACHE = 1_000_000
 
@@ -47,32 +50,51 @@ def _codes(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, (codes != 0).sum(axis=1)
 
 
+def _hashed(columns: np.ndarray, kind: int) -> np.ndarray:
+    h = np.full(len(columns), kind, np.uint64) * _SEED
+    for k in range(columns.shape[1]):
+        h = (h ^ columns[:, k]) * np.uint64(0x100000001B3)
+        h ^= h >> np.uint64(29)
+    return (words.mix(h) % np.uint64(BUCKETS)).astype(np.int32)
+
+
+def long_features(word: str, window: int = WINDOW) -> Iterator[np.ndarray]:
+    """Numbers of all 2- and 3-grams of a long word, in consecutive windows, and of the whole word."""
+    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+    for at in range(0, len(codes) - 1, window):
+        for n in (2, 3):
+            own = codes[at : at + window + n - 1].astype(np.uint64)
+            if len(own) >= n:
+                yield _hashed(np.lib.stride_tricks.sliding_window_view(own, n), 20 + n)
+    digest = hashlib.blake2b(word.encode(), digest_size=8).digest()
+    yield _hashed(np.frombuffer(digest, np.uint64).reshape(1, 1), 31)
+
+
+def is_long(word: str) -> bool:
+    return len(word) > HEAD + TAIL
+
+
 def word_features(found: list[str], lexicon: dict[str, int], langs: int) -> np.ndarray:
     """Numbers of each word's features (slots of a row; BUCKETS + langs + 1 for none).
 
     Prefixes and suffixes of 1 to 3 characters, all 2- and 3-grams and the word itself are hashed into BUCKETS;
-    after those come one feature for each language's lexicon and one that all words have.
+    after those come one feature for each language's lexicon and one that all words have. A long word's n-grams and the
+    word itself don't fit the slots; long_features() gives them.
     """
     codes, size = _codes(found)
+    short = np.array([not is_long(w) for w in found], bool)
     none, parts = BUCKETS + langs + 1, []
 
-    def hashed(columns: np.ndarray, kind: int) -> np.ndarray:
-        h = np.full(len(columns), kind, np.uint64) * _SEED
-        for k in range(columns.shape[1]):
-            h = (h ^ columns[:, k]) * np.uint64(0x100000001B3)
-            h ^= h >> np.uint64(29)
-        return (words.mix(h) % np.uint64(BUCKETS)).astype(np.int32)
-
     for n in (1, 2, 3):
         fits = size >= n
         tail = np.take_along_axis(codes, np.maximum(size[:, None] - n + np.arange(n), 0), 1)
-        parts += [np.where(fits, hashed(codes[:, :n], n), none), np.where(fits, hashed(tail, 10 + n), none)]
+        parts += [np.where(fits, _hashed(codes[:, :n], n), none), np.where(fits, _hashed(tail, 10 + n), none)]
     for n in (2, 3):
         for k in range(HEAD + TAIL - n + 1):
-            if not (fits := size >= k + n).any():
+            if not (fits := (size >= k + n) & short).any():
                 break
-            parts.append(np.where(fits, hashed(codes[:, k : k + n], 20 + n), none))
-    parts.append(hashed(codes, 30))
+            parts.append(np.where(fits, _hashed(codes[:, k : k + n], 20 + n), none))
+    parts.append(np.where(short, _hashed(codes, 30), none))
     parts.append(np.array([BUCKETS + lexicon[w] if w in lexicon else none for w in found], np.int32))
     parts.append(np.full(len(found), BUCKETS + langs, np.int32))
     return np.stack(parts, axis=1).astype(np.int32)
@@ -98,6 +120,9 @@ class Scorer:
         for k in range(0, len(runs), 20_000):
             got = [r.decode() for r in runs[k : k + 20_000]]
             fresh = self.table[word_features(got, self.model.lexicon, len(self.model.langs))].sum(axis=1)
+            for at, word in enumerate(got):
+                if is_long(word):
+                    fresh[at] += sum(self.table[own].sum(axis=0, dtype=np.float64) for own in long_features(word))
             while self.used + len(fresh) > len(self.scores):
                 self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
             self.scores[self.used : self.used + len(fresh)] = fresh
@@ -152,7 +177,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
             lengths.append(size)
     distinct = sorted(set(chain_words))
     number = {w: k for k, w in enumerate(distinct)}
-    features = crf.Sparse(word_features(distinct, lexicon, len(langs)), BUCKETS + len(langs) + 1)
+    features = crf.Sparse(word_features(distinct, lexicon, len(langs)), BUCKETS + len(langs) + 1, {k: np.concatenate(list(long_features(w))) for k, w in enumerate(distinct) if is_long(w)})
     weights, transition = crf.fit(features, np.array([number[w] for w in chain_words]), np.array(gold), np.array(lengths), len(langs), epochs=3, batch=100)
     return Model(langs, weights, transition, lexicon)
 

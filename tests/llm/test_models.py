@@ -88,6 +88,27 @@ def test_language_of_words_and_documents(spark):
     assert [t["lang"] for t in tags] == ["aa"] * 8 + ["bb"] * 8
 
 
+def test_long_runs_are_read_whole(spark):
+    rng = random.Random(5)
+    model = language.train([(sentences(rng, g, 40), g) for g in LANGS for _ in range(60)] + [("bado" * 6, "aa"), ("quiex" * 6, "bb")])
+    inner = "".join(rng.choice(LANGS["bb"]) for _ in range(200))
+    texts = ["badolumitesk" + inner + "grombado", "badolumitesk" + "lumi" * 200 + "grombado"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r["lang_pred"] for r in language.predict(df, model).orderBy("doc_id").collect()] == ["bb", "aa"]
+    word = texts[0]
+    got, parts = list(language.long_features(word)), list(language.long_features(word, 7))
+    assert sorted(np.concatenate(got)) == sorted(np.concatenate(parts)) and sum(map(len, got)) == 2 * len(word) - 3 + 1
+
+
+def test_more_features_than_slots():
+    rng = np.random.default_rng(6)
+    ones, weights, rows = rng.integers(0, 9, (4, 12)), rng.normal(size=(9, 2)), np.array([2, 0, 2, 3])
+    whole, split = crf.Sparse(ones, 9), crf.Sparse(np.hstack([ones[:, :5], np.full((4, 0), 9)]), 9, {k: ones[k, 5:] for k in range(4)})
+    assert np.allclose(whole.scores(weights, rows), split.scores(weights, rows))
+    g = rng.normal(size=(4, 2))
+    assert np.allclose(whole.gradient(rows, g), split.gradient(rows, g))
+
+
 def test_held_out_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.op1_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id")
