@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at a time.
 SLICE_BYTES = 1 << 20
+#: Where each table of stash() lies, as long as somebody holds it.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,10 +26,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The shared folder that the cluster names in spark.checkpoint.dir.
+
+    Where none is set, a local session makes a temporary one; on a cluster, whose machines wouldn't share it, that is
+    an error.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         root = "file://" + tempfile.mkdtemp(prefix="beadloom-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -52,7 +61,27 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/beadloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete_at_exit, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    _PATHS[kept] = path
+    return kept
+
+
+def drop(*stashed: DataFrame) -> None:
+    """Deletes the files of stash() tables that nothing is going to read again; the rest go when the process ends."""
+    for df in stashed:
+        if path := _PATHS.pop(df, None):
+            delete(df.sparkSession, path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns, like the given ones, that no column of df has in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def part(column: str, parts: int) -> Column:

@@ -168,7 +168,7 @@ def plain_verdict(url, rules):
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host) :])[0]
     host = host.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (not h or host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fits, default=(0, 0, None, "allow"))
     return host, path, best[2], best[3]
 
@@ -184,19 +184,41 @@ def test_url_rules(spark, monkeypatch):
     assert rows(url_filter.apply_rules(df, rules), *columns) == expected
     table = spark.createDataFrame(rules, "host string, path string, verdict string")
     assert rows(url_filter.apply_rules(df, table), *columns) == expected
-    monkeypatch.setattr(url_filter, "MAX_BROADCAST_RULES", 2)
-    assert rows(url_filter.apply_rules(df, table), *columns) == expected
+    for urls_a_range in (200_000, 17):
+        monkeypatch.setattr(url_filter, "RANGE_URLS", urls_a_range)
+        assert rows(url_filter.apply_rules(df, table, max_broadcast=0), *columns) == expected
+        assert url_filter.apply_rules(df.limit(0), table, max_broadcast=0).count() == 0
     assert url_filter.apply_rules(df.limit(0), rules).count() == 0
 
 
-def test_url_rules_are_the_same_by_both_paths(spark, monkeypatch):
+def test_url_rules_over_many_ranges(spark, monkeypatch):
+    """A hot host, rules that span ranges, columns that could clash, null and repeated rows."""
+    monkeypatch.setattr(url_filter, "RANGE_URLS", 40)
+    rng = random.Random(14)
+    labels = ["a", "b", "B", "é", "com", "org"]
+    hosts = [".".join(rng.choice(labels) for _ in range(rng.randint(1, 4))) for _ in range(40)]
+    urls = [f"http://{'hot.com' if rng.random() < 0.4 else rng.choice(hosts)}/{rng.choice(['', 'x', 'x/y', 'y', 'é/'])}{rng.randrange(5)}" for _ in range(500)] + [None, "http://a.com/x1", "http://a.com/x1"]
+    rules = [(rng.choice([*hosts, "com", "org", "", "hot.com", "HOT.com"]), rng.choice(["", "/", "/x", "/x/", "/y1"]), rng.choice(["allow", "block"])) for _ in range(90)]
+    extra = ("_host", "_rest", "range", "key", "kind", "row", "salt", "rule", "Verdict")
+    df = spark.createDataFrame([(k, u, *extra) for k, u in enumerate(urls)], ["page_id", "url", *extra])
+    by = url_filter.prepared(rules)
+    plain = [(text[: len(text) - len(path)], path, verdict) for _, path, text, verdict in by]
+    expected = sorted(((k, *plain_verdict(u, plain)) for k, u in enumerate(urls)), key=str)
+    table = spark.createDataFrame([*rules, (None, "/", "block"), rules[0]], "host string, path string, verdict string")
+    for limit in (0, 8 << 20):
+        got = url_filter.apply_rules(df, table, max_broadcast=limit)
+        assert rows(got, "page_id", "host", "path", "rule", "verdict") == expected
+        assert got.columns == ["page_id", "url", "_host", "_rest", "range", "key", "kind", "row", "salt", "host", "path", "rule", "verdict"]
+        assert got.filter("_host <> '_host' OR row <> 'row' OR salt <> 'salt'").count() == 0
+
+
+def test_url_rules_are_the_same_by_both_paths(spark):
     urls = ["http://b.com/x", "http://a.b.com/y/1", "http://net/x", "http://net./x", "http:///x", "no scheme", None, "http://c.org/"]
     rules = [("", "/x", "block"), ("", "/", "review"), ("B.com", "/y", "block"), ("b.com", "/y", "allow"), ("c.org", "/", "block"), ("C.ORG", "/", "zap"), ("C.org", "/", "allow")]
     df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id bigint, url string")
     table = spark.createDataFrame(rules, "host string, path string, verdict string")
     swept = rows(url_filter.apply_rules(df, table), "page_id", "rule", "verdict")
-    monkeypatch.setattr(url_filter, "MAX_BROADCAST_RULES", 2)
-    assert rows(url_filter.apply_rules(df, table), "page_id", "rule", "verdict") == swept
+    assert rows(url_filter.apply_rules(df, table, max_broadcast=0), "page_id", "rule", "verdict") == swept
     assert [(r, v) for _, r, v in swept] == [("/x", "block"), ("b.com/y", "allow"), ("/x", "block"), ("/x", "block"), ("/x", "block"), (None, "allow"), (None, "allow"), ("c.org/", "allow")]
 
 
