@@ -251,6 +251,29 @@ def test_lines_against_a_plain_version(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_hot_lines_are_dealt_into_pieces(spark, monkeypatch):
+    """The same result for any number of pieces, and with a band so wide that all candidates are counted exactly."""
+    rng = random.Random(15)
+    docs = [(k, "\n".join(["everywhere", *(f"line {rng.randrange(30)}" for _ in range(rng.randint(0, 9))), f"own {k}"]), f"s{rng.randrange(12)}") for k in range(150)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    results = []
+    for pieces, band in ((4096, 0.35), (3, 0.35), (1, 0.0), (50, 0.9)):
+        monkeypatch.setattr(line_dedup, "PIECES", pieces)
+        monkeypatch.setattr(line_dedup, "BAND", band)
+        results.append(rows(line_dedup.dedup_lines(df, 5)))
+    assert results[0] == results[1] == results[2] == results[3] and sum(r[-1] for r in results[0]) > 200
+    assert sorted(((r[0], r[1]) for r in results[0]), key=str) == sorted(plain_dedup(docs, 5, 1), key=str)
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    docs = [(k, f"Read more\nown {k}", f"s{k}") for k in range(20)]
+    extra = ("h", "g", "p", "k", "n", "t", "id", "pos", "row_id", "row_t", "gone_id", "gone_t", "gone", "_row_id_", "GONE_", "_gone", "_id")
+    df = spark.createDataFrame([(*d, *extra) for d in docs], ["doc_id", "text", "source", *extra])
+    got = line_dedup.dedup_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"] and got.agg(F.sum("n_removed")).first()[0] == 19
+    assert all(got.filter(F.col(c) != c).count() == 0 for c in extra[:4])
+
+
 def test_short_lines_are_judged_by_spread(spark):
     docs = [(k, f"Own line {k}\nRead more\n \n\t\r\n}}\nNot on many sites {k // 3}", f"s{k % 9}") for k in range(40)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
