@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at a time.
 SLICE_BYTES = 1 << 20
+#: A key with more than 1 / PIECES of all rows is dealt into pieces of that size.
+PIECES = 4096
 #: Where each table of stash() lies, as long as somebody holds it.
 _PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
@@ -108,6 +110,29 @@ def sampled(df: DataFrame, share: Column | float, *keys: str, seed: int = 11) ->
     return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(span)) < (share if isinstance(share, Column) else F.lit(share)) * span)
 
 
+def pieces(counts: DataFrame, key: str, of: int = PIECES) -> DataFrame:
+    """(key, k) of the keys that hold more than 1 / of of all rows, for counts (key, n): into how many pieces each is dealt.
+
+    These are fewer than `of` keys, so the table can be broadcast; a piece has about 1 / of of all rows at most.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = max(1, total // of)
+    return stash(counts.filter(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("k")), "pieces")
+
+
+def in_piece(df: DataFrame, key: str, hot: DataFrame, by: Column, piece: str = "p") -> DataFrame:
+    """df with its rows' piece: by, a hash, modulo the pieces of its key; 0 for keys that aren't dealt."""
+    at, k = fresh(df.withColumn(piece, F.lit(0)), "hot", "k")
+    hot = F.broadcast(hot.select(F.col(key).alias(at), F.col("k").alias(k)))  # fewer than PIECES rows
+    return df.join(hot, F.col(key) == F.col(at), "left").withColumn(piece, F.coalesce(F.pmod(by, F.col(k)), F.lit(0)).cast("int")).drop(at, k)
+
+
+def in_all_pieces(df: DataFrame, key: str, hot: DataFrame, piece: str = "p") -> DataFrame:
+    """df with a row for each piece of its key, so that a join by (key, piece) finds what one by key would."""
+    dealt = df.join(F.broadcast(hot), key, "left")  # fewer than PIECES rows
+    return dealt.withColumn(piece, F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1))).drop("k")
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, giving its memory back to the machine at its end: workers live on idle while later stages need memory."""
 

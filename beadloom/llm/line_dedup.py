@@ -1,8 +1,7 @@
 """Cross-site boilerplate lines by distinct-site spread: HyperLogLog sketches, exact counts near the threshold.
 
 Occurrences of a line are found and judged by hash, so a line that is nearly everywhere is a hot key. Lines with more
-than 1 / PIECES of all occurrences, PIECES of them at most, are dealt into pieces of that size, and every join by line
-goes by (line, piece). What leaves the texts is joined to them by document, which has no hot key.
+than 1 / PIECES of all occurrences are dealt into pieces of that size, and every join by line goes by (line, piece). What leaves the texts is joined to them by document, which has no hot key.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beadloom.llm.common import drop, fresh, read, stash
+from beadloom.llm.common import PIECES, drop, fresh, in_all_pieces, in_piece, pieces, read, stash
 
 #: A line on at least this many sites, in at least as many different texts, is boilerplate.
 MIN_SITES = 8
@@ -20,8 +19,6 @@ MIN_CHARS = 1
 BAND = 0.35
 #: log2 of a sketch's registers; the standard error, 1.04 / sqrt(2^10), is a tenth of BAND.
 LG_K = 10
-#: A line's occurrences are dealt into pieces of about 1 / PIECES of all.
-PIECES = 4096
 #: What a line must hold so as not to be blank.
 INK = r"[^ \t\n\x0B\f\r]"
 
@@ -44,17 +41,6 @@ def occurrences(df: DataFrame, id_col: str, text: str, site: str, min_chars: int
     return lines.filter(judged).select("id", "t", "site", "pos", F.xxhash64(line).alias("h"), F.xxhash64(F.lit(29), line).alias("g"))
 
 
-def _pieces(df: DataFrame, pieces: DataFrame) -> DataFrame:
-    """df (h, ...) with the piece of each row as p: each row once, its piece by hash."""
-    dealt = df.join(F.broadcast(pieces), "h", "left")  # PIECES rows at most
-    return dealt.withColumn("p", F.when(F.col("k").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "t", "pos"), F.col("k"))).cast("int")).drop("k")
-
-
-def _in_all_pieces(df: DataFrame, pieces: DataFrame) -> DataFrame:
-    """df (h, ...) with a row for each piece p of its line."""
-    return df.join(F.broadcast(pieces), "h", "left").withColumn("p", F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1))).drop("k")
-
-
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> tuple[DataFrame, list[DataFrame]]:
     """((id, t, pos, h, g) of the lines of occurrences() that are boilerplate, scratch tables to drop after use).
 
@@ -65,21 +51,20 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> tuple[DataFram
     several = lines.groupBy("h").agg(F.count("*").alias("n"), *(f(c).alias(f"{c}_{f.__name__}") for c in ("site", "t") for f in (F.min, F.max)))
     several = several.filter((F.col("n") >= min_sites) & (F.col("site_min") < F.col("site_max")) & (F.col("t_min") != F.col("t_max"))).select("h", "n")
     several = stash(several, "several")
-    total = several.agg(F.sum("n")).first()[0] or 0
-    share = max(1, total // PIECES)
-    pieces = stash(several.filter(F.col("n") > share).select("h", F.ceil(F.col("n") / share).cast("int").alias("k")), "pieces")
-    candidates = stash(_pieces(lines, pieces).join(_in_all_pieces(several.select("h"), pieces), ["h", "p"], "left_semi").select("h", "g", "p", "id", "t", "site", "pos"), "lines")
+    hot = pieces(several, "h", PIECES)
+    candidates = in_piece(lines, "h", hot, F.xxhash64("id", "t", "pos")).join(in_all_pieces(several.select("h"), "h", hot), ["h", "p"], "left_semi")
+    candidates = stash(candidates.select("h", "g", "p", "id", "t", "site", "pos"), "lines")
     spread = candidates.groupBy("h", "g").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("site"), F.hll_sketch_estimate(F.hll_sketch_agg("t", LG_K)).alias("t"))
     spread = stash(spread.filter(F.least("site", "t") >= min_sites * (1 - BAND)), "spread")
     found = spread.select("h", "g")
     for c in ("site", "t"):
-        near = _in_all_pieces(spread.filter(F.col(c) <= min_sites * (1 + BAND)).select("h", "g"), pieces)
+        near = in_all_pieces(spread.filter(F.col(c) <= min_sites * (1 + BAND)).select("h", "g"), "h", hot)
         exact = candidates.join(near, ["h", "g", "p"], "left_semi").select("h", "g", c).distinct().groupBy("h", "g").agg(F.count("*").alias("n"))
         enough = spread.filter(F.col(c) > min_sites * (1 + BAND)).select("h", "g").unionByName(exact.filter(F.col("n") >= min_sites).select("h", "g"))
         found = found.join(enough, ["h", "g"], "left_semi")
     found = stash(found, "boilerplate")
-    hits = candidates.join(_in_all_pieces(found, pieces), ["h", "g", "p"], "left_semi").select("h", "g", "id", "t", "pos")
-    return hits, [several, pieces, candidates, spread, found]
+    hits = candidates.join(in_all_pieces(found, "h", hot), ["h", "g", "p"], "left_semi").select("h", "g", "id", "t", "pos")
+    return hits, [several, hot, candidates, spread, found]
 
 
 def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:

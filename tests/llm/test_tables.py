@@ -287,45 +287,69 @@ def test_short_lines_are_judged_by_spread(spark):
 # --- mixing ---
 
 
+def n_words(text):
+    return len(re.findall(r"[^ \t\n\x0b\f\r]+", text or ""))
+
+
 def test_exponents(spark):
     sizes = [1000.0, 100.0, 10.0, 10.0]
     src = spark.createDataFrame([(int(n),) for n in sizes] + [(0,)], ["n"])
     a = mixing.exponent(src, max_repeats=3.0)
-    assert abs((1000 / 10) ** (1 - a) - 3) < 1e-9
+    assert abs((1000 / 10) ** (1 - a) - 3) < 1e-7
     h = lambda a: (lambda w: -sum(x / sum(w) * math.log(x / sum(w)) for x in w))([n**a for n in sizes])
-    assert abs(h(mixing.exponent(src, entropy=1.0)) - 1.0) < 1e-9
-    assert mixing.exponent(src, entropy=2.0) < 1e-9 and mixing.exponent(src, max_repeats=1000.0) == 0
+    assert abs(h(mixing.exponent(src, entropy=1.0)) - 1.0) < 1e-8
+    assert mixing.exponent(src, entropy=2.0) < 1e-9 and mixing.exponent(src, max_repeats=1000.0) == 0 and mixing.exponent(src, entropy=0.0) == 1
     b = mixing.exponent(src, max_repeats=2.0, budget=500)
     z = sum(n**b for n in sizes)
     assert abs(max(n ** (b - 1) / z * 500 for n in sizes) - 2) < 1e-6
+    c = mixing.exponent(src, evenness=0.5)
+    assert abs(h(c) - (h(1.0) + math.log(4)) / 2) < 1e-8
+    assert mixing.exponent(src, max_repeats=3.0, evenness=0.5) == max(a, c)
+    assert mixing.exponent(src.filter("n = 0"), evenness=0.5) == 1 and mixing.exponent(spark.createDataFrame([(7,), (7,)], ["n"]), evenness=0.5) == 0
+    for few in (0.99, 1.01):  # sources of nearly one size: the exponent lies inside all the same
+        near = spark.createDataFrame([(int(1e6 * few**k),) for k in range(6)], ["n"])
+        assert 0.5 < mixing.exponent(near, max_repeats=1.5, evenness=0.5) < 0.9
+
+
+def test_the_exponent_binds_in_the_query(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        sizes = docs.groupBy("source").agg(F.sum(mixing.tokens()).alias("n"))
+        assert 0.1 < mixing.exponent(sizes, mixing.MAX_REPEATS, evenness=mixing.EVENNESS) < 0.99
 
 
-def test_mixture(spark, monkeypatch):
+@pytest.mark.parametrize("evenness", [None, 0.5])
+def test_mixture(spark, monkeypatch, evenness):
     rng = random.Random(12)
-    docs = [(k, " ".join("w" * rng.randint(1, 9) for _ in range(rng.randint(1, 40))), f"s{min(rng.randrange(9), 3)}") for k in range(600)]
-    docs += [(700, None, "s0"), (701, "", None), (702, "a b", None), (703, "x " * 50_000, "s1"), (None, "a b c", "s2"), (5, docs[5][1], docs[5][2])]
-    df = spark.createDataFrame([(*d, 7) for d in docs], "doc_id bigint, text string, source string, epoch int")
-    size = lambda t: len(re.findall(r"[ \n\t]", t)) + 1 if t else 0
+    docs = [(k, rng.choice([" ", "  ", "\r\n", "\x0b"]).join("w" * rng.randint(1, 9) for _ in range(rng.randint(1, 40))), f"s{min(rng.randrange(9), 3)}") for k in range(600)]
+    docs += [(700, None, "s0"), (701, "", None), (702, "a b", None), (703, "x " * 50_000, "s1"), (704, " \n", "s2"), (None, "a b c", "s2"), (5, docs[5][1], docs[5][2])]
+    extra = ("n", "s", "i", "p", "k", "hot", "quota", "full", "rest", "cut", "_cut", "mix_s", "mix_i", "mix_p", "mix_plan", "Mix_s_", "plan")
+    df = spark.createDataFrame([(*d, 7, *extra) for d in docs], ["doc_id", "text", "source", "epoch", *extra])
     have = Counter()
     for _, t, s in docs:
-        have[s] += size(t)
+        have[s] += n_words(t)
+    src = spark.createDataFrame([(n,) for n in have.values()], ["n"])
     for sorted_ in (20_000, 10):
         monkeypatch.setattr(mixing, "SORTED", sorted_)
-        got = mixing.mix(df, max_repeats=1.5).collect()
+        mixed = mixing.mix(df, max_repeats=1.5, evenness=evenness)
+        assert mixed.columns == ["doc_id", "text", "source", *extra, "epoch", "position"]
+        got = mixed.collect()
         took, times = Counter(), Counter()
         for r in got:
-            took[r["source"]] += size(r["text"])
+            took[r["source"]] += n_words(r["text"])
             times[r["doc_id"]] += 1
-        assert all(times[i] >= 1 for i, _, _ in docs)
-        top, least = max(have.values()), min(n for n in have.values() if n)
+        assert all(times[i] >= 1 for i, _, _ in docs) and times[700] == times[701] == times[704] == 1
+        a, top = mixing.exponent(src, 1.5, evenness=evenness), max(have.values())
         for s, n in have.items():
-            a = 1 - math.log(1.5) / math.log(top / least)
             quota = round(n**a * top ** (1 - a))
-            assert took[s] <= quota and quota - took[s] <= max(size(t) for _, t, x in docs if x == s)
-        assert all(0 <= r["position"] < 2 for r in got)
+            assert took[s] <= quota and quota - took[s] <= max(n_words(t) for _, t, x in docs if x == s)
+        assert all(0 <= r["position"] < 2 and r["s"] == "s" and r["quota"] == "quota" and r["Mix_s_"] == "Mix_s_" for r in got)
     half = mixing.mix(df, max_repeats=1.0, budget=sum(have.values()) // 2).collect()
-    assert sum(size(r["text"]) for r in half) <= sum(have.values()) // 2 + 10
+    assert sum(n_words(r["text"]) for r in half) <= sum(have.values()) // 2 + 10
+    few = Counter(r["doc_id"] for r in mixing.mix(df, max_repeats=1.0, budget=100).collect())
+    assert few[700] == few[701] == few[704] == 1
     assert mixing.mix(df.limit(0)).count() == 0
+    assert sorted((r["doc_id"], r["epoch"]) for r in mixing.mix(df.filter("doc_id IN (700, 701, 704)")).collect()) == [(700, 0), (701, 0), (704, 0)]
 
 
 def test_mixing_is_native(spark):
