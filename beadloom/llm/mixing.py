@@ -110,7 +110,7 @@ def mix(df: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float |
     plan = stash(plan, "plan")
     # how far the last, partial block goes: sums by ranges of keys first, then only the range of the cut is sorted
     bits = max(0, min(KEY_BITS, (sums["docs"] // SORTED).bit_length()))
-    begun = in_all_pieces(plan.filter("rest > 0").select("s", "full", "rest"), "s", hot)
+    begun = stash(in_all_pieces(plan.filter("rest > 0").select("s", "full", "rest"), "s", hot), "begun")
     last = in_piece(docs, "s", hot, F.xxhash64("i")).join(begun, ["s", "p"]).withColumn("k", _key(F.col("full"), F.col("i"))).withColumn("r", F.shiftright("k", KEY_BITS - bits))
     ranges = last.groupBy("s", "rest", "r").agg(F.sum("n").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("s").orderBy("r").rowsBetween(Window.unboundedPreceding, 0))
@@ -119,8 +119,9 @@ def mix(df: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float |
     here = F.col("before") + F.sum("n").over(Window.partitionBy("s").orderBy("k", "i").rowsBetween(Window.unboundedPreceding, 0))
     over = inside.withColumn("upto", here).filter(F.col("upto") > F.col("rest")).groupBy("s").agg(F.min(F.struct("k", "i")).alias("cut"))
     own_s, own_i, own_p, got = fresh(df, "mix_s", "mix_i", "mix_p", "mix_plan")
-    plan = stash(plan.join(over, "s", "left").select("s", F.struct("n", "quota", "full", "rest", "cut").alias("plan")), "plan")
-    plan = in_all_pieces(plan, "s", hot).select(F.col("s").alias(f"{own_s}_"), F.col("p").alias(f"{own_p}_"), F.col("plan").alias(got))
+    plan = plan.join(over, "s", "left").select("s", F.struct("n", "quota", "full", "rest", "cut").alias("plan"))
+    # written, so that Spark knows its size: it is broadcast below spark.sql.autoBroadcastJoinThreshold
+    plan = stash(in_all_pieces(plan, "s", hot).select(F.col("s").alias(f"{own_s}_"), F.col("p").alias(f"{own_p}_"), F.col("plan").alias(got)), "plan")
     out = in_piece(df.withColumn(own_s, src).withColumn(own_i, id_), own_s, hot.withColumnRenamed("s", own_s), F.xxhash64(own_i), own_p)
     out = out.join(plan, (F.col(own_s) == F.col(f"{own_s}_")) & (F.col(own_p) == F.col(f"{own_p}_")), "left")
     # the last block takes what comes before the first document that would go over the quota
