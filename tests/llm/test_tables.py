@@ -141,8 +141,8 @@ def test_top_k_against_all_pairs(spark):
     vectors += [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (305, [0.0] * 6), (306, [1.0, 2.0]), (307, [3.0, -2.0]), (None, [0.5] * 6)]
     df = spark.createDataFrame([(i, v, 1) for i, v in vectors], "vec_id bigint, embedding array<double>, rank int")
     fine = {i: [math.floor(256 * x) for x in v] for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
-    for shard, block in ((8192, 4096), (37, 5)):
-        got = topk.top_k(df, df.filter("vec_id % 5 = 0 OR vec_id > 300"), 4, shard_rows=shard, block_rows=block)
+    for shard, seeds in ((None, 0), (37, 0), (37, 20), (100, 150)):
+        got = topk.top_k(df, df.filter("vec_id % 5 = 0 OR vec_id > 300"), 4, shard_rows=shard, seeds=seeds)
         expected = []
         for q in (i for i in fine if i % 5 == 0 or i > 300):
             near = sorted((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q and len(v) == len(fine[q]))[:4]
@@ -151,13 +151,34 @@ def test_top_k_against_all_pairs(spark):
     assert topk.top_k(df.limit(0), df).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Exact beyond 2^53; held at the ends of a long beyond them; left out where 256 * x isn't finite."""
+    rng = random.Random(16)
+    vectors = [(k, [rng.choice([0.0, 1e6 + k, -3e7, 2.0**40, 1e17, -1e30, 1e30]) for _ in range(3)]) for k in range(60)]
+    vectors += [(60, [1e307, 0.0, 0.0]), (61, [2.0**27 + 1, 1.0, 0.0]), (62, [2.0**27, 1.0, 0.0])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    fine = {i: [math.floor(256 * x) for x in v] for i, v in vectors if i != 60}
+    top = (1 << 63) - 1
+    expected = []
+    for q, own in fine.items():
+        near = sorted((-min(max(sum(a * b for a, b in zip(own, v)), -top), top), i) for i, v in fine.items() if i != q)[:5]
+        expected += [(q, k, i, -s) for k, (s, i) in enumerate(near, 1)]
+    for shard, seeds in ((None, 0), (11, 20)):
+        assert rows(topk.top_k(df, df, 5, shard_rows=shard, seeds=seeds), "query_id", "rank", "vec_id", "score") == sorted(expected, key=str)
+
+
 def test_threshold_stops_early():
     rng = np.random.default_rng(9)
     vectors = rng.integers(-3, 4, (4000, 3))
     vectors[:5] = 200
     lists = topk.Lists(np.arange(4000), vectors)
+    seen = []
+    scores_of = lists._scores
+    lists._scores = lambda at, query: seen.extend(at.tolist()) or scores_of(at, query)
     at, scores = lists.search(-1, np.array([1, 2, 3]), 5)
-    assert at.tolist() == [0, 1, 2, 3, 4] and set(scores.tolist()) == {1200}
+    assert at.tolist() == [0, 1, 2, 3, 4] and set(scores.tolist()) == {1200} and len(seen) < 400
+    seen.clear()
+    assert len(lists.search(-1, np.array([1, 1, 1]), 9, least=100)[0]) >= 5 and len(seen) < 400
 
 
 # --- URL rules ---
