@@ -12,9 +12,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beadloom.llm import words
-from beadloom.llm.common import read, slices, stash
+from beadloom.llm.common import fresh, read, slices, stash
 
 #: Runs whose ids a worker keeps; beyond that it starts anew.
 CACHE = 3_000_000
@@ -31,9 +32,7 @@ def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def _byte_letters() -> list[str]:
@@ -48,13 +47,15 @@ class Encoder:
 
     Its rules split at white space, then into letters, single digits and other signs, before the merges work on each
     piece by itself. So texts are cut into runs of one class, and the ids of a run are kept. Runs outside Latin script,
-    and texts with capitals or marks that Python and the tokenizer treat differently, go through the tokenizer unsplit.
+    texts with capitals or marks that Python and the tokenizer treat differently, and those that hold the name of an
+    added token (such as <|endoftext|>) go through the tokenizer unsplit.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
         self.tokenizer, self.cache = _tokenizer(path), cache
         self.merges = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self._reset()
 
@@ -90,14 +91,15 @@ class Encoder:
         plain: list[int] = []
         raw: list[bytes] = []
         for k, text in enumerate(texts):
-            low = text.lower()
+            low, odd = text.lower(), False
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text)
                 low = text.lower()
-                if "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", low):
-                    out[k] = np.asarray(self._whole(text), "<u4").tobytes()
-                    continue
+                odd = "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", low)
                 low = _SPACES.sub(" ", low)
+            if odd or any(name in low for name in self.added):
+                out[k] = np.asarray(self._whole(texts[k]), "<u4").tobytes()
+                continue
             plain.append(k)
             raw.append(low.encode())
         if plain:
@@ -180,31 +182,32 @@ def pack(df: DataFrame, capacity: int = 2048, length: str = "length", shard_rows
 
     Rows are dealt evenly into shards of about shard_rows by a hash of the whole row, so no key makes a shard large and
     equal rows may meet in any shard; each shard is packed by itself, longest first, with the sum-of-squares rule.
-    Lengths are 1 .. capacity; others raise an error. An empty df gives an empty result.
+    Lengths are 1 .. capacity; others, null too, raise an error. An empty df gives an empty result. Columns of df named
+    sequence_id or offset are replaced, all others kept, whatever their names.
     """
-    clash = [c for c in df.columns if c in ("sequence_id", "offset", "_shard")]
-    df = df.drop(*clash)
+    df = df.drop("sequence_id", "offset")
+    (shard_of,) = fresh(df, "shard")
     n = df.count()
     if not n:
         return df.withColumns({"sequence_id": F.lit(None).cast("bigint"), "offset": F.lit(None).cast("bigint")}).filter("false")
     shards = -(-n // shard_rows)
-    df = df.withColumn("_shard", F.pmod(F.xxhash64(*df.columns), F.lit(shards)).cast("int"))
-    from pyspark.sql import types as T
-
-    out = T.StructType([*(f for f in df.schema.fields if f.name != "_shard"), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    out = T.StructType([*df.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    df = df.withColumn(shard_of, F.pmod(F.xxhash64(*df.columns), F.lit(shards)).cast("int"))
 
     def place(table: pa.Table) -> pa.Table:
-        shard = table.column("_shard")[0].as_py()
-        table = table.drop_columns(["_shard"])
+        shard = table.column(shard_of)[0].as_py()
+        table = table.drop_columns([shard_of])
         keys = [(length, "descending"), *((c, "ascending") for c in table.column_names if c != length and not pa.types.is_nested(table.schema.field(c).type))]
         table = table.sort_by(keys)
         sizes = table.column(length).to_numpy()
+        if table.column(length).null_count:
+            raise ValueError(f"a null length; 1 to {capacity} can be packed")
         if sizes.min() < 1 or sizes.max() > capacity:
             raise ValueError(f"lengths from {sizes.min()} to {sizes.max()}; 1 to {capacity} can be packed")
         bins, offsets = sum_of_squares(sizes, capacity)
         return table.append_column("sequence_id", pa.array(bins + (shard << 40))).append_column("offset", pa.array(offsets))
 
-    return df.groupBy("_shard").applyInArrow(place, out)
+    return df.groupBy(shard_of).applyInArrow(place, out)
 
 
 def default_tokenizer() -> str:
