@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beadloom.llm.common import read, slices
 
@@ -87,7 +88,8 @@ def fingerprint(payload: bytes) -> np.ndarray:
 def store_wav(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_bytes, media): every whole text as UTF-8, padded with bytes 255 to a positive multiple of FRAME, as WAV.
 
-    A null text counts as empty: one frame of padding. Repeated rows give repeated rows; other columns are dropped.
+    A null text counts as empty: one frame of padding; a null id stays null. Repeated rows give repeated rows, an empty
+    df none. Other columns are dropped, so none can clash.
     """
     df = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = df.schema["id"].dataType.simpleString()
@@ -107,10 +109,10 @@ def store_wav(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 def read_wav(df: DataFrame, media: str = "media") -> DataFrame:
     """df with payload (the samples that the wave module reads back) and fingerprint (array of bigint).
 
-    A null media gives null for both.
+    A null media gives null for both. Repeated rows give repeated rows, an empty df none. Columns of df named payload or
+    fingerprint are replaced, all others kept.
     """
-    from pyspark.sql import types as T
-
+    df = df.drop("payload", "fingerprint")
     schema = T.StructType([*df.schema.fields, T.StructField("payload", T.BinaryType()), T.StructField("fingerprint", T.ArrayType(T.LongType()))])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,10 +124,10 @@ def read_wav(df: DataFrame, media: str = "media") -> DataFrame:
     return df.mapInArrow(decode, schema)
 
 
-def digests(df: DataFrame) -> DataFrame:
-    """Digest columns of what read_wav() returns."""
+def digests(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Digest columns of what read_wav() returns, with the fingerprint itself. Nulls give nulls; other columns are dropped."""
     return df.select(
-        "doc_id",
+        id_col,
         "n_bytes",
         F.length("payload").cast("bigint").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_sha256"),
@@ -133,6 +135,7 @@ def digests(df: DataFrame) -> DataFrame:
         F.length("media").cast("bigint").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         F.concat_ws("-", F.size("fingerprint").cast("string"), F.hex(F.xxhash64("fingerprint"))).alias("feature"),
+        "fingerprint",
     )
 
 

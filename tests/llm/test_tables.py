@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from beadloom.llm import line_dedup, media, mixing, packing, topk, url_filter
@@ -23,10 +24,15 @@ def rows(df, *columns):
 def test_encoder_equals_the_tokenizer():
     rng = random.Random(5)
     encoder = packing.Encoder(packing.default_tokenizer())
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    assert packing._tokenizer(packing.default_tokenizer()).encode_special_tokens is False
     alphabet = [chr(c) for c in (*range(1, 0x250), *range(0x300, 0x340), 0x3A3, 0x130, 0x2028, 0x3000, 0x200B, 0x1F600, 0x4E2D, 0x1100, 0x1161, 0xB2, 0xFB01)] + [" "] * 60 + list("'s't're<|endoftext|>..,,!-×–é")
-    texts = ["", " ", "It's the café's 12.5%!!", "J̌ À²"] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50))) for _ in range(600)]
+    names = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>"]
+    texts = ["", " ", "It's the café's 12.5%!!", "J̌ À²", *names, "a<|endoftext|>b é", "x <|startoftext|><|endoftext|>\n", "<|EndOfText|> Σ"]
+    texts += [" ".join(rng.choice([*names, "word", "é", "É.", "<", ">"]) for _ in range(6)) for _ in range(200)] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50))) for _ in range(600)]
     for text, got in zip(texts, encoder.encode(texts)):
-        assert got == np.asarray(encoder._whole(text), "<u4").tobytes(), repr(text)
+        assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    assert 49407 in np.frombuffer(encoder.encode(["a <|endoftext|> b"])[0], "<u4")
 
 
 def best_place(count, size, capacity):
@@ -82,6 +88,11 @@ def test_packed_pieces(spark):
     assert packing.packed_documents(df.limit(0)).count() == 0
     ids = packing.tokenised_pieces(df.filter("doc_id = 1"), packing.default_tokenizer(), with_ids=True).first()["ids"]
     assert ids == whole[1].tobytes()
+    clash = spark.createDataFrame([(k, 1 + k % 7, "a", "b", "c") for k in range(50)], ["doc_id", "length", "shard", "_shard", "_shard_"])
+    placed = packing.pack(clash, 8, shard_rows=20)
+    assert placed.columns == [*clash.columns, "sequence_id", "offset"] and placed.filter("shard = 'a' AND _shard = 'b' AND _shard_ = 'c'").count() == 50
+    with pytest.raises(Exception, match="can be packed"):
+        packing.pack(spark.createDataFrame([(1, None)], "k int, length bigint"), 8).collect()
     with pytest.raises(Exception, match="can be packed"):
         packing.pack(spark.createDataFrame([(1, 9)], ["k", "length"]), 8).collect()
 
@@ -124,6 +135,36 @@ def test_peaks_against_a_plain_transform():
     assert (np.diff(code) >= 0).all() and ((code & 255) <= media.AHEAD).all()
 
 
+def plain_pairs(payload):
+    """Peaks by a transform written out, and every pair of them within a frame or up to two frames on."""
+    data = [255] * 288 + list(payload) + [255] * 288
+    found = []
+    for at in range(0, len(data) - 575, 288):
+        frame = (np.array(data[at : at + 576], np.float32) - 128) * np.hanning(576).astype(np.float32)
+        mag = np.round(np.abs(np.fft.rfft(frame)) * 16).astype(int).tolist()
+        top = sorted((-m, b) for b, m in enumerate(mag) if 0 < b < len(mag) - 1 and m > mag[b - 1] and m >= mag[b + 1] and m > 0)
+        found.append([b for _, b in top[:3]])
+    out = []
+    for f, own in enumerate(found):
+        out += [f << 32 | a << 20 | b << 8 for a in own for b in own if a < b]
+        for ahead in (1, 2):
+            out += [f << 32 | a << 20 | b << 8 | ahead for a in own for b in (found[f + ahead] if f + ahead < len(found) else [])]
+    return sorted(out)
+
+
+def test_fingerprints_against_plain_pairs(spark):
+    rng = random.Random(17)
+    texts = ["", None, "abc", "A short text.", "é" * 400, "".join(rng.choice("abcde \n") for _ in range(3000)), "x" * 5000]
+    df = spark.createDataFrame([(k, t, "p", "f") for k, t in enumerate(texts)], "doc_id bigint, text string, payload string, fingerprint string")
+    stored = media.store_wav(df).withColumns({"payload": F.lit(1), "fingerprint": F.lit(2), "Media_": F.lit(3)})
+    for r, text in zip(media.digests(media.read_wav(stored)).orderBy("doc_id").collect(), texts):
+        raw = (text or "").encode()
+        assert r["fingerprint"] == plain_pairs(raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw)))
+    assert media.read_wav(stored.limit(0)).count() == 0
+    nulls = media.digests(media.read_wav(stored.limit(1).withColumn("media", F.lit(None).cast("binary")))).first()
+    assert nulls["payload_sha256"] is None and nulls["fingerprint"] is None
+
+
 def test_short_texts_have_fingerprints_of_their_own(spark):
     texts = ["", None, "A.", "This.", "That one.", "The last letter of a text of one whole frame counts. " * 11 + "end.", "A short text of one frame.", "A short text of one frame!", "long " * 200]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
