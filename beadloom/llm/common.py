@@ -110,6 +110,14 @@ def sampled(df: DataFrame, share: Column | float, *keys: str, seed: int = 11) ->
     return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(span)) < (share if isinstance(share, Column) else F.lit(share)) * span)
 
 
+def bounded(df: DataFrame, max_chars: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """df with each text of n characters, n > max_chars, kept with a probability of max_chars / n, by a hash of its id.
+
+    So no length is left out, and the expected characters are at most max_chars a row.
+    """
+    return sampled(df, F.least(F.lit(1.0), F.lit(float(max_chars)) / F.greatest(F.length(text), F.lit(1))), id_col, seed=13)
+
+
 def pieces(counts: DataFrame, key: str, of: int = PIECES) -> DataFrame:
     """(key, k) of the keys that hold more than 1 / of of all rows, for counts (key, n): into how many pieces each is dealt.
 

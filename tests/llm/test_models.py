@@ -166,11 +166,48 @@ def test_toxicity_from_ten_labels():
     clean = [" ".join(rng.choice(base) for _ in range(12)) for _ in range(150)]
     toxic = [c + (" vilewort" if k % 2 else " foulwort") for k, c in enumerate(clean[:10])]
     model = toxicity.train(toxic, clean[10:] + toxic, 0.1)
-    assert {"w:vilewort", "w:foulwort"} <= set(model.weights) and sum(f[2:] in base for f in model.weights) <= 2
-    scores = toxicity.Scorer(model).scores(["a fine day", "such vilewort", "such foulwort"])
-    assert scores[0] < toxicity.THRESHOLD <= min(scores[1:])
+    found = toxicity.scores(model, ["a fine day", "such vilewort", "such foulwort", *base])
+    assert found[0] < toxicity.THRESHOLD <= min(found[1:3]) and sum(found[3:] >= toxicity.THRESHOLD) <= 2
     hits = [math.comb(9, k) * 0.03**k * 0.97 ** (9 - k) for k in range(10)]
-    assert all(sum(hits[k:]) <= 1.000001 * math.exp(-toxicity.surprise(k, 9, 0.03)) for k in range(1, 10))
+    for k in range(1, 10):
+        if k / 9 > 0.03:
+            surprise = 9 * 0.03 * ((k / 9 / 0.03) * math.log(k / 9 / 0.03) - k / 9 / 0.03 + 1)
+            d = toxicity.chance(np.array([0.03]), 9, surprise)[0]
+            assert abs(d + 0.03 - k / 9) < 1e-6 and sum(hits[k:]) <= 1.000001 * math.exp(-surprise)
+
+
+def test_features_of_texts():
+    texts = ["Réeuxment né né", "", "idiots scum 12 ab"]
+    text, h, kind = toxicity.text_features(texts)
+    expected = [(0, "réeuxment", 0), *((0, "réeuxment"[:n], n) for n in range(3, 9)), (0, "né", 0), (2, "idiots", 0), *((2, "idiots"[:n], n) for n in range(3, 7)), (2, "scum", 0), (2, "scu", 3), (2, "scum", 4), (2, "ab", 0)]
+    assert sorted(zip(text.tolist(), kind.tolist())) == sorted((k, n) for k, _, n in expected) and len(set(h.tolist())) == len(h)
+    again = toxicity.text_features(["ab né idiotic scummy"])[1]
+    assert len(set(again.tolist()) & set(h.tolist())) == 2 + 3 + 2  # ab, né; idi, idio, idiot; scu, scum
+
+
+def test_scores_against_plain_sums(spark):
+    rng = random.Random(18)
+    vocabulary = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 11))) for _ in range(200)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    model = toxicity.train([t + " vile vilest" for t in texts[:40]], texts, 0.2)
+
+    def plain(text):
+        own = {(0, w) for w in text.split()} | {(n, w[:n]) for w in text.split() for n in range(3, 9) if len(w) >= n}
+        h = {int(x) for k, w in own for x, n in zip(*toxicity.text_features([w])[1:]) if n == k}
+        return 1 / (1 + math.exp(-model.bias - sum(w for f, w in zip(model.features.tolist(), model.weights.tolist()) if f in h)))
+
+    df = spark.createDataFrame([(k, t, 0.5) for k, t in enumerate([*texts, "vile", None])], "doc_id bigint, text string, score double")
+    got = {r["doc_id"]: r["score"] for r in toxicity.predict(df, model).collect()}
+    assert all(abs(got[k] - plain(t)) < 1e-9 for k, t in enumerate([*texts, "vile", ""])) and len(model.features) > 0
+
+
+def test_class_prior_is_estimated():
+    rng = np.random.default_rng(5)
+    for prior in (0.05, 0.3):
+        s_p = rng.normal(3, 1, 400)
+        s_u = np.where(rng.random(4000) < prior, rng.normal(3, 1, 4000), rng.normal(0, 1, 4000))
+        assert abs(toxicity.prior_of(s_p, s_u) - prior) < 0.35 * prior + 0.01  # the assumed prior has a say
+    assert 0 < toxicity.prior_of(np.zeros(3), np.zeros(10)) <= 0.9
 
 
 def test_toxicity_of_a_small_table(spark):
@@ -184,5 +221,16 @@ def test_risk_estimator_stays_non_negative():
     rng = np.random.default_rng(3)
     x_p = [np.array([0])] * 20 + [np.array([k]) for k in range(1, 10)]
     x_u = [np.array([0]) if rng.random() < 0.1 else np.array([], np.int64) for _ in range(400)]
-    w, b = toxicity.nnpu(x_p, x_u, 10, 0.1)
+    p, u = (toxicity.Columns(np.repeat(np.arange(len(x)), [len(r) for r in x]), np.concatenate(x).astype(int), len(x), 10) for x in (x_p, x_u))
+    w, b = toxicity.nnpu(p, u, 0.1, np.full(10, 1e-3))
     assert w[0] > 1 and 1 / (1 + np.exp(-b)) < 0.1
+    # its derivatives are those of the risk where the second part isn't negative, and raise that part where it is
+    g_p, g_u = rng.normal(size=6), rng.normal(size=9)
+    value, d_p, d_u = toxicity.risk(g_p, g_u, 0.2)
+    for g, d, which in ((g_p, d_p, 0), (g_u, d_u, 1)):
+        for k in range(len(g)):
+            more = [g_p.copy(), g_u.copy()]
+            more[which][k] += 1e-6
+            assert abs((toxicity.risk(*more, 0.2)[0] - value) / 1e-6 - d[k]) < 1e-5
+    value, d_p, d_u = toxicity.risk(np.full(6, 9.0), np.full(9, -9.0), 0.2)
+    assert value < 1e-3 and (d_p > 0).all() and (d_u < 0).all()
