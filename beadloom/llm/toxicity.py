@@ -99,8 +99,8 @@ class Sample:
 
     def counted(self, seen: np.ndarray) -> None:
         for _, h, _ in self.parts:
-            at = np.bincount(h >> np.uint64(64 - SEEN_BITS), minlength=1 << SEEN_BITS)
-            np.minimum(seen + np.minimum(at, 2).astype(np.uint8), 2, out=seen)
+            at, times = np.unique((h >> np.uint64(64 - SEEN_BITS)).astype(np.uint32), return_counts=True)
+            seen[at] = np.minimum(seen[at] + times, 2)
 
     def kept(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs of features that more than one text has (or a few others, by equal bits)."""
@@ -300,14 +300,43 @@ def _texts(df: DataFrame) -> Iterator[str]:
         yield from batch.column(0).to_pylist()
 
 
+class Scorer:
+    """Scores of texts; the model's features of distinct words are kept by the words' numbers."""
+
+    def __init__(self, model: Model, cache: int = 2_000_000):
+        self.model, self.cache = model, cache
+        self._reset()
+
+    def _reset(self) -> None:
+        self.index, self.flat, self.offsets = words.Index(18), np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _new(self, runs: list[bytes]) -> None:
+        names, word, h = self.model.features, np.empty(0, np.int64), np.empty(0, np.uint64)
+        if len(names):
+            word, h, _ = text_features([r.decode() for r in runs])
+        at = np.minimum(np.searchsorted(names, h), max(0, len(names) - 1))
+        hit = names[at] == h
+        self.flat = np.concatenate([self.flat, at[hit].astype(np.int32)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.bincount(word[hit], minlength=len(runs)))])
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        if self.index.size > self.cache:
+            self._reset()
+        data, begin = words.joined([t.lower().encode() for t in texts])
+        starts, ends = words.letter_runs(data)
+        rows = words.resolve(self.index, data, starts, ends, self._new)
+        count = self.offsets[1:] - self.offsets[:-1]
+        on = np.flatnonzero(count[rows])
+        text = np.searchsorted(begin, starts[on], "right") - 1
+        found, _ = words.gathered(self.flat, self.offsets, rows[on])
+        width = max(1, len(self.model.features))
+        pairs = np.unique(np.repeat(text, count[rows[on]]) * width + found)
+        g = np.bincount(pairs // width, self.model.weights[pairs % width], len(texts)) + self.model.bias
+        return 0.5 * (1 + np.tanh(g / 2))
+
+
 def scores(model: Model, texts: list[str]) -> np.ndarray:
-    if not len(model.features):
-        return np.full(len(texts), 1 / (1 + math.exp(-model.bias)))
-    text, h, _ = text_features(texts)
-    at = np.minimum(np.searchsorted(model.features, h), len(model.features) - 1)
-    hit = model.features[at] == h
-    g = np.bincount(text[hit], model.weights[at[hit]], len(texts)) + model.bias
-    return 0.5 * (1 + np.tanh(g / 2))
+    return Scorer(model).scores(texts)
 
 
 def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,8 +349,9 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text: st
     kind = df.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model) if model else None
         for batch in slices(batches):
-            found = scores(model, batch.column("text").to_pylist()) if model else np.zeros(batch.num_rows)
+            found = scorer.scores(batch.column("text").to_pylist()) if scorer else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found)], names=["id", "score"])
 
     return df.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
