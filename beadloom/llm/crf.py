@@ -12,17 +12,13 @@ def _scaled(x: np.ndarray, axis: int = -1) -> np.ndarray:
     return x / x.sum(axis=axis, keepdims=True)
 
 
-def marginals(scores: np.ndarray, lengths: np.ndarray, transition: np.ndarray, block: int = BLOCK) -> np.ndarray:
-    """Probability of every label at every position, exactly as forward-backward gives it.
+def _messages(scores: np.ndarray, lengths: np.ndarray, transition: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(alpha, beta, psi, step): what comes to each position from the left, itself included, and from the right.
 
-    scores: (positions, labels) log emissions of all chains, one after another; lengths: positions of each chain, at
-    least 1. Every position, the first too, is entered by a transition; before the first, labels are equally likely.
-    Chains are cut into blocks. The product of a block's factors carries messages over it, so the number of steps is
-    the block size plus the blocks of the longest chain, not its length.
+    Chains are cut into blocks. The product of a block's factors carries messages over it, so the number of steps is the
+    block size plus the blocks of the longest chain, not its length.
     """
     n, labels = scores.shape
-    if not n:
-        return np.empty((0, labels))
     lengths = np.asarray(lengths, np.int64)
     block = int(min(block, lengths.max()))
     step = np.exp(transition - transition.max())
@@ -47,19 +43,29 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transition: np.ndarray, b
         for r in range(int(blocks.max()) - 1, 0, -1):
             at = first[blocks > r] + r
             back[at - 1] = _scaled(np.einsum("nkl,nl->nk", carry[at], back[at]))
-    out = np.empty((n, labels))
-    alpha = into
+    alpha, beta = np.empty((n, labels)), np.empty((n, labels))
     for j in range(block):
         on = np.flatnonzero(size > j)
         at = begin[on] + j
-        out[at] = alpha[on] = _scaled((alpha[on] @ step) * psi[at])
-    beta = back
+        alpha[at] = into[on] = _scaled((into[on] @ step) * psi[at])
     for j in range(block - 1, -1, -1):
         on = np.flatnonzero(size > j)
         at = begin[on] + j
-        out[at] = _scaled(out[at] * beta[on])
-        beta[on] = _scaled((psi[at] * beta[on]) @ step.T)
-    return out
+        beta[at] = back[on]
+        back[on] = _scaled((psi[at] * back[on]) @ step.T)
+    return alpha, beta, psi, step
+
+
+def marginals(scores: np.ndarray, lengths: np.ndarray, transition: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """Probability of every label at every position, exactly as forward-backward gives it.
+
+    scores: (positions, labels) log emissions of all chains, one after another; lengths: positions of each chain, at
+    least 1. Every position, the first too, is entered by a transition; before the first, labels are equally likely.
+    """
+    if not len(scores):
+        return np.empty((0, scores.shape[1]))
+    alpha, beta, _, _ = _messages(scores, lengths, transition, block)
+    return _scaled(alpha * beta)
 
 
 class Dense:
@@ -101,35 +107,23 @@ class Sparse:
         return out
 
 
-def _gradient(scores: np.ndarray, gold: np.ndarray, lengths: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of the negative log-likelihood by scores and transitions, for chains of moderate length."""
+def _gradient(scores: np.ndarray, gold: np.ndarray, lengths: np.ndarray, transition: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the negative log-likelihood by scores and transitions, for chains of any length."""
     labels = scores.shape[1]
-    n, longest = len(lengths), int(lengths.max())
-    begin = np.cumsum(lengths) - lengths
-    step = np.exp(transition - transition.max())
-    psi = np.exp(scores - scores.max(axis=1, keepdims=True))
-    alpha, pair = np.empty_like(psi), np.zeros((labels, labels))
-    state = np.full((n, labels), 1 / labels)
-    for j in range(longest):
-        on = np.flatnonzero(lengths > j)
-        at = begin[on] + j
-        alpha[at] = state[on] = _scaled((state[on] @ step) * psi[at])
-    node, beta = np.empty_like(psi), np.full((n, labels), 1 / labels)
-    for j in range(longest - 1, -1, -1):
-        on = np.flatnonzero(lengths > j)
-        at = begin[on] + j
-        node[at] = _scaled(alpha[at] * beta[on])
-        right = psi[at] * beta[on]
-        left = alpha[at - 1] if j else np.full((len(on), labels), 1 / labels)
-        both = left[:, :, None] * step * right[:, None, :]
-        both = both / both.sum(axis=(1, 2), keepdims=True)
-        if j:
-            np.subtract.at(pair, (gold[at - 1], gold[at]), 1)
-        else:  # before the first position every label is as likely
-            for k in range(labels):
-                pair[:, k] -= (gold[at] == k).sum() * _scaled(step[:, k])
-        pair += both.sum(axis=0)
-        beta[on] = _scaled(right @ step.T)
+    alpha, beta, psi, step = _messages(scores, lengths, transition, block)
+    first = np.cumsum(lengths) - lengths
+    left = np.vstack([alpha[:1], alpha[:-1]])
+    left[first] = 1 / labels  # before the first position every label is as likely
+    right = psi * beta
+    both = left[:, :, None] * step * right[:, None, :]
+    pair = (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    later = np.ones(len(gold), bool)
+    later[first] = False
+    at = np.flatnonzero(later)
+    np.subtract.at(pair, (gold[at - 1], gold[at]), 1)
+    for k in range(labels):
+        pair[:, k] -= (gold[first] == k).sum() * _scaled(step[:, k])
+    node = _scaled(alpha * beta)
     node[np.arange(len(gold)), gold] -= 1
     return node, pair
 

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.llm import crf, words
-from beadloom.llm.common import part, read, sampled, slices
+from beadloom.llm.common import bounded, part, read, sampled, slices
 
-#: Bounds of the training sample: documents, and characters of one of them (longer ones aren't picked).
+#: Bounds of the training sample: documents, and characters beyond which one is picked the more seldom the longer it is,
+#: so that their total is bounded as well.
 TRAIN_DOCS = 2400
 TRAIN_CHARS = 40_000
 #: Hash buckets of the affix and n-gram features, and words of each language's lexicon.
@@ -185,15 +186,16 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
 def train_on(df: DataFrame, max_docs: int = TRAIN_DOCS, max_chars: int = TRAIN_CHARS) -> Model | None:
     """A model from the text and lang of df, on a sample of about max_docs rows, as many of each language.
 
-    Rows with a null text, lang or doc_id, and texts of over max_chars characters, aren't picked.
+    Rows with a null text, lang or doc_id aren't picked; a text of n characters is picked with max_chars / n times the
+    probability of a short one if it is longer, so that both rows and characters are bounded.
     """
-    df = df.select("doc_id", "text", "lang").dropna().filter(F.length("text") <= max_chars)
+    df = df.select("doc_id", "text", "lang").dropna()
     langs = sorted((r["lang"], r["count"]) for r in df.groupBy("lang").count().collect())
     each = max_docs // max(1, len(langs))
     share = F.lit(0.0)
     for lang, n in langs:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(share)
-    return train([(r["text"], r["lang"]) for r in sampled(df, share, "doc_id").select("text", "lang").collect()])
+    return train([(r["text"], r["lang"]) for r in bounded(sampled(df, share, "doc_id"), max_chars).select("text", "lang").limit(2 * max_docs).collect()])
 
 
 def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.llm import crf, words
-from beadloom.llm.common import part, read, sampled, slices
+from beadloom.llm.common import bounded, part, read, sampled, slices
 
-#: Bounds of the training sample: documents of each label, and characters of one (longer ones aren't picked).
+#: Bounds of the training sample: documents of each label, and characters beyond which a document is picked the more
+#: seldom the longer it is, so that their total is bounded as well.
 TRAIN_EACH = 1500
 TRAIN_CHARS = 40_000
+#: Spliced training chains for each document of the sample; most blocks of a chain, and most lines of a block.
+SPLICED, BLOCKS, BLOCK_LINES = 1.0, 5, 8
 #: A document is kept if its score is at least this.
 KEEP = 0.5
 
@@ -143,23 +146,42 @@ def shares(p: np.ndarray, size: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(all_ > 0, good / np.maximum(all_, 1e-12), 0)
 
 
+def spliced(texts: list[str], labels: np.ndarray, chains: int, rng: np.random.Generator) -> tuple[list[str], np.ndarray]:
+    """(texts, labels of their lines): blocks of consecutive lines from documents of alternating labels, joined.
+
+    So lines stand beside lines of the other label, as in a document of which a part is bad. Blank lines are left out.
+    """
+    lines = [[line for line in t.split("\n") if line.strip(" \t\r\x0b\x0c")] for t in texts]
+    by = [np.flatnonzero(labels == k) for k in (0, 1)]
+    out, gold = [], []
+    for _ in range(chains):
+        label, own = int(rng.integers(2)), []
+        for _ in range(int(rng.integers(2, BLOCKS + 1))):
+            found = lines[by[label][rng.integers(len(by[label]))]]
+            want = min(int(rng.integers(1, BLOCK_LINES + 1)), len(found))
+            at = int(rng.integers(len(found) - want + 1))
+            own += found[at : at + want]
+            gold += [label] * want
+            label = 1 - label
+        out.append("\n".join(own))
+    return out, np.array(gold, np.int64)
+
+
 def train(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
     """A model from (text, label) rows, 1 for good; None if either label has no text with a line.
 
-    Lines learn their document's label; a logistic curve over the share of good text is then fitted to the documents.
+    Documents train as they are, every line with its document's label, and spliced with those of the other label, which
+    teaches where labels change. A logistic curve over the share of good text is then fitted to the documents.
     """
-    rows = sorted({(t, int(y)) for t, y in rows if t and t.strip()})
+    rows = sorted({(t, int(y)) for t, y in rows if t and t.strip(" \n\t\r\x0b\x0c")})
     if len({y for _, y in rows}) < 2:
         return None
     texts, y = [t for t, _ in rows], np.array([y for _, y in rows])
-    features, size, counts = _in_parts(texts)
-    some = counts > 0
+    more, gold = spliced(texts, y, int(SPLICED * len(texts)), np.random.default_rng(seed))
+    features, size, counts = _in_parts([*texts, *more])
+    own = counts[: len(texts)]
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-3
-    x = crf.Dense(_x(features, mean, scale))
-    lengths = counts[some]
-    # long texts are cut, so that a chain of training has 200 lines at most
-    pieces = np.concatenate([[200] * (n // 200) + [n % 200] * (n % 200 > 0) for n in lengths.tolist()]).astype(np.int64)
-    weights, transition = crf.fit(x, np.arange(len(features)), np.repeat(y, counts), pieces, 2, epochs=12, batch=50, l2=1e-3, seed=seed)
+    weights, transition = crf.fit(crf.Dense(_x(features, mean, scale)), np.arange(len(features)), np.concatenate([np.repeat(y, own), gold]), counts[counts > 0], 2, epochs=12, batch=50, l2=1e-3, seed=seed)
     model = Model(mean, scale, weights, transition, 1.0, 0.0)
     s = shares(*good_lines(model, texts))
     a, b = 4.0, -2.0
@@ -174,16 +196,17 @@ def train(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
 def train_on(docs: DataFrame, labels: DataFrame, each: int = TRAIN_EACH, max_chars: int = TRAIN_CHARS) -> Model | None:
     """A model from documents (doc_id, text) with labels (doc_id, quality), on a sample of about `each` rows a label.
 
-    Rows with nulls and texts of over max_chars characters aren't picked. A document labelled more than once counts as
-    bad if any label says so.
+    Rows with nulls aren't picked; a text of n characters is picked with max_chars / n times the probability of a short
+    one if it is longer, so that both rows and characters are bounded. A document labelled more than once counts as bad
+    if any label says so.
     """
     labels = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
     n = {r["quality"]: r["count"] for r in labels.groupBy("quality").count().collect()}
     share = F.lit(0.0)
     for label in (0, 1):
         share = F.when(F.col("quality") == label, F.lit(min(1.0, each / max(1, n.get(label, 0))))).otherwise(share)
-    picked = F.broadcast(sampled(labels, share, "doc_id"))  # about 2 * each rows
-    rows = docs.select("doc_id", "text").filter(F.length("text") <= max_chars).join(picked, "doc_id").select("text", "quality").collect()
+    picked = F.broadcast(sampled(labels, share, "doc_id").limit(4 * each))  # about 2 * each rows
+    rows = bounded(docs.select("doc_id", "text").dropna().join(picked, "doc_id"), max_chars).select("text", "quality").collect()
     return train([tuple(r) for r in rows])
 
 
@@ -204,6 +227,29 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text: st
     return df.mapInArrow(run, f"id {kind}, score double, lines bigint, good_lines bigint").withColumnRenamed("id", id_col)
 
 
+def label_lines(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, lines): for each text an array of (line, good) with the probability of good of each line that isn't blank.
+
+    A null or blank text has an empty array; a null id stays null. Repeated rows give repeated results.
+    """
+    df = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kind = df.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item = pa.struct([("line", pa.string()), ("good", pa.float64())])
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            p, _, counts = good_lines(model, texts)
+            found, at = [], 0
+            for t, n in zip(texts, counts.tolist(), strict=True):
+                lines = [line for line in t.split("\n") if line.strip(" \t\r\x0b\x0c")]
+                found.append([{"line": line, "good": float(g)} for line, g in zip(lines, p[at : at + n], strict=True)])
+                at += n
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(item))], names=["id", "lines"])
+
+    return df.mapInArrow(run, f"id {kind}, lines array<struct<line:string,good:double>>").withColumnRenamed("id", id_col)
+
+
 def scored(model: Model | None, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(score, lines, good lines) of each text."""
     if model is None:
@@ -218,7 +264,7 @@ def scored(model: Model | None, texts: list[str]) -> tuple[np.ndarray, np.ndarra
 
 
 def kept(df: DataFrame, model: Model | None, text: str = "text", threshold: float = KEEP) -> DataFrame:
-    """The rows of df, with all columns, whose text scores at least threshold."""
+    """The rows of df, with all columns, whose text scores at least threshold. A null or blank text scores 0 and goes."""
     schema = df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,8 @@ def test_marginals_against_brute_force(block):
     assert np.allclose(crf.marginals(scores, lengths, transition, block), expected)
 
 
-def test_gradient_by_differences():
+@pytest.mark.parametrize("block", [1, 2, 64])
+def test_gradient_by_differences(block):
     rng = np.random.default_rng(1)
     lengths, gold = np.array([3, 4]), rng.integers(0, 2, 7)
     scores, transition = rng.normal(size=(7, 2)), rng.normal(size=(2, 2))
@@ -40,7 +41,7 @@ def test_gradient_by_differences():
             total += np.logaddexp.reduce(list(z.values())) - z[tuple(gold[e - n : e])]
         return total
 
-    g_s, g_t = crf._gradient(scores, gold, lengths, transition)
+    g_s, g_t = crf._gradient(scores, gold, lengths, transition, block)
     for grad, which in ((g_s, 0), (g_t, 1)):
         for at in np.ndindex(grad.shape):
             d = [np.zeros_like(scores), np.zeros_like(transition)]
@@ -138,6 +139,68 @@ def test_quality_edges(spark):
     assert {r["score"] for r in quality.predict(df, None).collect()} == {0.0, 0.5}
 
 
+def test_a_bad_block_within_a_good_document(spark):
+    """Real lines: blocks of lines of bad documents set into good ones, and the other way round, none of them trained on."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").orderBy("doc_id").select("text", "quality").collect()
+    lines = [[line for line in r["text"].split("\n") if len(line) > 60] for r in docs]
+    good, bad = ([x for x, r in zip(lines, docs) if r["quality"] == q and len(x) >= 4] for q in (1, 0))
+    model = quality.train([(r["text"], r["quality"]) for k, r in enumerate(docs) if k % 4])
+    held_good, held_bad = ([x for x, (k, r) in zip(lines, enumerate(docs)) if k % 4 == 0 and r["quality"] == q and len(x) >= 4] for q in (1, 0))
+    rng = random.Random(19)
+    texts, gold = [], []
+    for _ in range(60):
+        for outer, inner, label in ((held_good, held_bad, 0), (held_bad, held_good, 1)):
+            a, b = rng.choice(outer)[:8], rng.choice(inner)[-3:]
+            at = rng.randint(1, len(a) - 1)
+            texts.append("\n".join([*a[:at], *b, *a[at:]]))
+            gold.append([1 - label] * at + [label] * len(b) + [1 - label] * (len(a) - at))
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate([*texts, None, " \n"])], "doc_id bigint, text string, lines string")
+    got = {r["doc_id"]: r["lines"] for r in quality.label_lines(df, model).collect()}
+    assert got[len(texts)] == got[len(texts) + 1] == []
+    right = [[(x["good"] >= 0.5) == bool(y) for x, y in zip(got[k], own, strict=True)] for k, own in enumerate(gold)]
+    assert "\n".join(x["line"] for x in got[0]) == texts[0]
+    for k in (0, 1):
+        assert np.mean([x for own in right[k::2] for x in own]) > 0.9
+    both = [{x["good"] >= 0.5 for x in got[k]} == {True, False} for k in range(len(texts))]
+    assert np.mean(both) > 0.9 and len(good) and len(bad)
+
+
+def brute_quality(model, text):
+    """Marginals by summing over all labellings, then the length-weighted mean and the curve."""
+    features, size, counts = quality.line_features([text])
+    if not len(features):
+        return 0.0
+    scores = quality._x(features, model.mean, model.scale) @ model.weights
+    p = brute_marginals(scores, model.transition)[:, 1]
+    return 1 / (1 + np.exp(-(model.slope * (p * size).sum() / size.sum() + model.shift)))
+
+
+def test_quality_scores_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    rows = [r for r in docs.collect()]
+    model = quality.train([(r["text"], labels[r["doc_id"]]) for r in rows if r["doc_id"] in labels])
+    some = [r for r in rows if r["text"] and r["text"].count("\n") < 9][:150]
+    got = {r["doc_id"]: r["score"] for r in quality.predict(docs.filter(F.col("doc_id").isin([r["doc_id"] for r in some])), model).collect()}
+    assert all(abs(got[r["doc_id"]] - brute_quality(model, r["text"])) < 1e-9 for r in some)
+
+
+def test_language_scores_against_brute_force(spark):
+    """Marginals of short texts by summing over all labellings, weighted by the words' bytes."""
+    rng = random.Random(20)
+    model = language.train([(sentences(rng, g, 40), g) for g in LANGS for _ in range(40)])
+    texts = [sentences(rng, rng.choice(list(LANGS)), rng.randint(1, 4)) + " " + sentences(rng, rng.choice(list(LANGS)), rng.randint(1, 4)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df, model).collect()}
+    table = np.vstack([model.weights, np.zeros(2)])
+    for k, t in enumerate(texts):
+        found = t.split()
+        p = brute_marginals(table[language.word_features(found, model.lexicon, 2)].sum(axis=1), model.transition)
+        total = p.T @ np.array([len(w) for w in found])
+        assert got[k][0] == model.langs[total.argmax()] and abs(got[k][1] - total.max() / total.sum()) < 1e-5
+
+
 def test_held_out_toxicity(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     got = toxicity.op3_toxicity(spark, "/root/testdata/sf0.1")
