@@ -118,14 +118,15 @@ def bounded(df: DataFrame, max_chars: int, text: str = "text", id_col: str = "do
     return sampled(df, F.least(F.lit(1.0), F.lit(float(max_chars)) / F.greatest(F.length(text), F.lit(1))), id_col, seed=13)
 
 
-def pieces(counts: DataFrame, key: str, of: int = PIECES) -> DataFrame:
+def pieces(counts: DataFrame, key: str, of: int = PIECES, total: int | None = None) -> DataFrame:
     """(key, k) of the keys that hold more than 1 / of of all rows, for counts (key, n): into how many pieces each is dealt.
 
-    These are fewer than `of` keys, so the table can be broadcast; a piece has about 1 / of of all rows at most.
+    These are fewer than `of` keys, so the table can be broadcast; a piece has about 1 / of of all rows at most. Given
+    total, the sum of n, nothing runs here; else the sum is taken and the table written.
     """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    share = max(1, total // of)
-    return stash(counts.filter(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("k")), "pieces")
+    share = max(1, (total if total is not None else counts.agg(F.sum("n")).first()[0] or 0) // of)
+    hot = counts.filter(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("k"))
+    return hot if total is not None else stash(hot, "pieces")
 
 
 def in_piece(df: DataFrame, key: str, hot: DataFrame, by: Column, piece: str = "p") -> DataFrame:

@@ -9,8 +9,10 @@ partners runs in three steps, all exact:
    rest leave out their most frequent n-grams, as many as they may, and sets with an n-gram in common come into one
    bucket. All links lie inside buckets.
 3. Each bucket is one inverted index. A set's required overlap T decides how many of its longest lists are skipped; the
-   short ones are merged, and sets that occur often enough there are probed in the long ones. Sets that are connected
-   already aren't compared again, so a group of near copies costs about one comparison a member.
+   short ones are merged, and sets that occur often enough there are probed in the long ones by binary search. Merging
+   counts occurrences in an array over the bucket's sets, which gives what a heap over the lists would and costs numpy
+   one step a posting. Sets that are connected already aren't compared again, so a group of near copies costs about one
+   comparison a member.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.llm import words
-from beadloom.llm.common import read, slices, stash, tidy
+from beadloom.llm.common import in_all_pieces, in_piece, pieces, read, slices, stash, tidy
 from beadloom.llm.graph import components
 
 #: n-grams that the sets of one task may hold together; larger buckets are searched in pairs of blocks.
@@ -33,6 +35,8 @@ BUCKET_TOKENS = 3_000_000
 MAX_BROADCAST_NODES = 1_000_000
 #: Percentage points of a set that its prefix has beyond what the threshold lets linked sets differ by.
 SLACK = 10
+#: Binary searches that are made at a time.
+PROBES = 1 << 18
 #: Cost of a probe against a merge step in choosing how many long lists to skip.
 MU = 0.0085
 
@@ -103,6 +107,8 @@ class Search:
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(token))])
         self.cut = np.concatenate([[0], np.cumsum(self.sizes)])
         self.token = token
+        self.width = int(token.max(initial=0)) + 1
+        self.places = owner * self.width + token  # sorted, so a binary search tells whether a set holds an n-gram
 
     def _merged(self, tokens: np.ndarray, low: int, high: int) -> np.ndarray:
         """How often each set of low .. high - 1 occurs on the lists of tokens."""
@@ -125,21 +131,15 @@ class Search:
         count = self._merged(tokens[: n - long], low, high)
         near = np.flatnonzero(count >= least - long) + low
         near = near[~skip(near)]
-        if len(near) > 64:  # many: merge the long lists as well
-            total = count + self._merged(tokens[n - long :], low, high)
-            near = near[100 * total[near - low] >= self.percent * (n + self.sizes[near] - total[near - low])]
-            for c in near.tolist():
+        probe = np.sort(tokens[n - long :])
+        for k in range(0, len(near), step := max(1, PROBES // max(1, long))):
+            some = near[k : k + step]
+            asked = (some[:, None] * self.width + probe).ravel()
+            found = self.places[np.minimum(np.searchsorted(self.places, asked), len(self.places) - 1)] == asked
+            total = count[some - low] + found.reshape(len(some), long).sum(axis=1)
+            for c in some[100 * total >= self.percent * (n + self.sizes[some] - total)].tolist():
                 if not skip(np.array([c]))[0]:
                     yield c
-            return
-        probe = np.sort(tokens[n - long :])
-        for c in near.tolist():
-            if skip(np.array([c]))[0]:
-                continue
-            own = self.token[self.cut[c] : self.cut[c + 1]]
-            at = np.minimum(np.searchsorted(own, probe), len(own) - 1)
-            if linked(int(count[c - low]) + int((own[at] == probe).sum()), n, len(own), self.percent):
-                yield c
 
 
 def bucket_roots(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
@@ -252,32 +252,47 @@ def link(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     if not SLACK < percent <= 100:
         raise ValueError(f"a threshold above {SLACK} % is needed")
     df = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))
-    rows = stash(_profiles(df, n, percent), "profiles")
-    reps = rows.filter("n > 0 AND id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    rows = stash(_profiles(df, n, percent).withColumn("key", F.xxhash64("n", "d1", "d2")), "profiles")
+    reps = stash(rows.filter("n > 0 AND id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).withColumn("key", F.xxhash64("n", "d1", "d2")), "sets")
+    roots = _roots(df, rows, reps, n, percent, bucket_tokens)
+    named = reps.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").select("n", "d1", "d2", "key", F.coalesce("root", "rep").alias("root"))
+    hot = pieces(reps.groupBy("key").agg(F.sum("copies").alias("n")), "key")  # large groups of copies
+    found = in_piece(rows.select("id", "n", "d1", "d2", "key"), "key", hot, F.xxhash64("id")).join(in_all_pieces(named, "key", hot), ["n", "d1", "d2", "key", "p"], "left")
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"))
+
+
+def _roots(df: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int, bucket_tokens: int) -> DataFrame:
+    """(id, root) of the sets of reps that have a link: the smallest id that each reaches."""
+    if percent == 100:  # only equal sets link, and each is one row of reps
+        return reps.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0)
     nodes = rows.select("id", "n", "prefix").join(reps.select(F.col("rep").alias("id"), "n"), ["id", "n"], "left_semi")
     found = stash(_buckets(nodes).join(rows.groupBy("id").agg(F.max("n").alias("n")), "id"), "buckets")
-    sizes = found.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("nodes"))
+    sizes = found.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("n"))
+    sizes = stash(sizes, "sizes")
     large = sizes.filter(F.col("tokens") > bucket_tokens).count()
-    nodes_found = found.count()
-    where = found if nodes_found > MAX_BROADCAST_NODES else F.broadcast(found)
-    sets = _tokens_of(df.join(where, "id"), n, ["id", "bucket"])
     if large:
-        # too large for a task: one length band and its neighbour at a time, in pairs of blocks
-        size = F.length("tokens") / 8
-        band = F.floor(F.log(size) / math.log(100 / percent))
-        banded = stash(sets, "sets").withColumn("band", F.explode(F.array(band, band - 1)))
-        parts = banded.groupBy("bucket", "band").agg(F.sum(F.length("tokens") / 8).alias("t")).select("bucket", "band", F.ceil(2 * F.col("t") / bucket_tokens).cast("int").alias("parts"))
-        own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-        banded = banded.join(parts, ["bucket", "band"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
-        key = F.concat_ws("/", "bucket", "band", F.least("own", "other"), F.greatest("own", "other"))
-        edges = _run_buckets(banded.select(key.alias("bucket"), side.alias("side"), "id", "tokens"), percent)
-        roots = components(edges.select(F.col("id").alias("u"), F.col("root").alias("v")))
+        hot = pieces(sizes.select("bucket", "n"), "bucket")
+        flags = in_all_pieces(sizes.select("bucket", (F.col("tokens") > bucket_tokens).alias("large")), "bucket", hot)
+        found = stash(in_piece(found, "bucket", hot, F.xxhash64("id")).join(flags, ["bucket", "p"]).select("id", "bucket", "large"), "buckets")
     else:
-        roots = _run_buckets(sets.select("bucket", F.lit(2).alias("side"), "id", "tokens"), percent).distinct()
-    named = rows.select("id", "n", "d1", "d2").join(reps, ["n", "d1", "d2"], "left").join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
-    named = named.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id"))
-    return named.withColumnRenamed("id", id_col)
+        found = found.select("id", "bucket", F.lit(False).alias("large"))
+    where = found if (sizes.agg(F.sum("n")).first()[0] or 0) > MAX_BROADCAST_NODES else F.broadcast(found)  # 17 bytes a node
+    sets = _tokens_of(df.join(where, "id"), n, ["id", "bucket", "large"])
+    if not large:
+        return _run_buckets(sets.select("bucket", F.lit(2).alias("side"), "id", "tokens"), percent).distinct()
+    sets = stash(sets, "sets")
+    small = _run_buckets(sets.filter("NOT large").select("bucket", F.lit(2).alias("side"), "id", "tokens"), percent).distinct()
+    # those too large for a task: one length band and its neighbour at a time, in pairs of blocks
+    size = F.length("tokens") / 8
+    band = F.floor(F.log(size) / math.log(100 / percent))
+    banded = sets.filter("large").withColumn("band", F.explode(F.array(band, band - 1)))
+    parts = banded.groupBy("bucket", "band").agg(F.sum(F.length("tokens") / 8).alias("t")).select("bucket", "band", F.ceil(2 * F.col("t") / bucket_tokens).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    banded = banded.join(parts, ["bucket", "band"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    key = F.concat_ws("/", "bucket", "band", F.least("own", "other"), F.greatest("own", "other"))
+    edges = _run_buckets(banded.select(key.alias("bucket"), side.alias("side"), "id", "tokens"), percent)
+    return small.unionByName(components(edges.select(F.col("id").alias("u"), F.col("root").alias("v"))))
 
 
 def one_of_each(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

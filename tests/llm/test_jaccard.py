@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from beadloom.llm import jaccard
+from beadloom.llm.common import pieces
 from beadloom.llm.graph import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -54,7 +55,7 @@ def texts(seed, count=220):
     return out
 
 
-@pytest.mark.parametrize("seed,n,percent,bucket", [(1, 4, 85, 3_000_000), (2, 5, 80, 3_000_000), (3, 4, 85, 600), (4, 5, 80, 900), (5, 3, 60, 3_000_000)])
+@pytest.mark.parametrize("seed,n,percent,bucket", [(1, 4, 85, 3_000_000), (2, 5, 80, 3_000_000), (3, 4, 85, 600), (4, 5, 80, 900), (5, 3, 60, 3_000_000), (6, 4, 100, 3_000_000), (7, 4, 100, 600), (8, 4, 85, 4000)])
 def test_against_brute_force(spark, seed, n, percent, bucket):
     rows = list(enumerate(texts(seed)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -95,6 +96,16 @@ def test_many_candidates_of_one_bucket():
     assert roots.tolist() == smallest
 
 
+def test_components_with_a_hot_node(spark, monkeypatch):
+    from beadloom.llm import graph
+
+    monkeypatch.setattr(graph, "pieces", lambda counts, key, total=None: pieces(counts, key, 20, total))
+    edges = spark.createDataFrame([(5000, k) for k in range(100, 400)] + [(k, k + 1000) for k in range(100, 130)] + [(1, 2), (None, 3)], "u bigint, v bigint")
+    got = {r["id"]: r["root"] for r in components(edges).collect()}
+    assert got == {5000: 100, **{k: 100 for k in range(100, 400)}, **{k + 1000: 100 for k in range(100, 130)}, 1: 1, 2: 1}
+    assert components(edges.limit(0)).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] + [(100, 101), (7, 7)], "u bigint, v bigint")
     got = {r["id"]: r["root"] for r in components(edges).collect()}
