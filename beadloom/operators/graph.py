@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from beadloom.functions.text import clip01
 
-#: Columns of a sparse matrix that more rows than this share are dealt over several tasks.
-HOT_COLUMN = 10_000
+#: Vectors of a shard of a product, vectors that are asked of it at a time, and entries of a matrix at most.
+SHARD_ROWS, QUERY_ROWS, DENSE = 32_768, 1024, 1 << 24
 
 
 def set_checkpoints(spark: SparkSession) -> None:
-    """Takes the folder that spark.checkpoint.dir names; a temporary one only where none is set."""
+    """Takes the folder that spark.checkpoint.dir names.
+
+    Where none is set, a local session makes a temporary one; on a cluster, whose machines wouldn't share it, that is
+    an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="beadloom-"))
+        root = sc.getConf().get("spark.checkpoint.dir")
+        if not root and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        sc.setCheckpointDir(root or "file://" + tempfile.mkdtemp(prefix="beadloom-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,18 +44,103 @@ def log_normalised(df: DataFrame, row: str, column: str, n: str) -> DataFrame:
     return out.select(row, column, (F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(row)))).alias("w"))
 
 
-def product_top(df: DataFrame, row: str, column: str, w: str, top: int) -> DataFrame:
+def product_top(df: DataFrame, row: str, column: str, w: str, top: int, shard_rows: int | None = None) -> DataFrame:
     """(src, dst, sim): for each row the `top` rows, itself included, of greatest inner product over shared columns.
 
-    Ties go to the smaller dst. Rows without a shared column never meet. A self-join on the column; columns with many
-    rows are dealt over several tasks by a part of the left side, so that no task holds all pairs of a column.
+    Ties (sims equal to nine places) go to the smaller dst. Rows without a shared column never meet. A row becomes one
+    vector; vectors are dealt by hash into shards of about shard_rows, each of which one task holds by column, and all
+    vectors stream past every shard in blocks. Only a block's best leave the task, so what is shuffled grows with rows
+    times shards, not with pairs.
     """
-    sized = df.withColumn("_p", F.ceil(F.count("*").over(Window.partitionBy(column)) / HOT_COLUMN).cast("int"))
-    left = sized.select(F.col(row).alias("src"), F.col(column).alias("_c"), F.col(w).alias("_a"), F.pmod(F.xxhash64(row), F.col("_p")).cast("int").alias("_s"))
-    right = sized.select(F.col(row).alias("dst"), F.col(column).alias("_c"), F.col(w).alias("_b"), F.explode(F.sequence(F.lit(0), F.col("_p") - 1)).alias("_s"))
-    sims = left.join(right, ["_c", "_s"]).groupBy("src", "dst").agg(F.sum(F.col("_a") * F.col("_b")).alias("sim"))
+    vectors = df.groupBy(F.col(row).alias("id")).agg(F.array_sort(F.collect_list(F.struct(F.xxhash64(column).alias("c"), F.col(w).cast("double").alias("w")))).alias("v"))
+    vectors = cut(vectors.select("id", F.col("v.c").alias("c"), F.col("v.w").alias("w")))
+    n = max(1, vectors.count())
+    shards = -(-n // shard_rows) if shard_rows else max(-(-n // SHARD_ROWS), min(16, -(-n // 256)))
+    held = vectors.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "c", "w")
+    asked = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", "c", "w")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, waiting, block = None, [], None
+        for batch in batches:
+            shard, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
+            cuts = (np.flatnonzero((np.diff(shard) != 0) | (np.diff(kind) != 0)) + 1).tolist()
+            for at, end in zip([0, *cuts], [*cuts, len(shard)], strict=True):
+                for start in range(at, end, QUERY_ROWS):
+                    own = batch.slice(start, min(end, start + QUERY_ROWS) - start)
+                    if shard[start] != present:
+                        present, waiting, block = shard[start], [], None
+                    if not kind[start]:
+                        waiting.append(own)
+                        continue
+                    if waiting:
+                        block, waiting = Block(waiting), []
+                    if block is not None:
+                        yield block.best(own, top)
+
+    schema = f"src {vectors.schema['id'].dataType.simpleString()}, dst {vectors.schema['id'].dataType.simpleString()}, sim double"
+    best = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(run, schema)
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc(F.round("sim", 9)), "dst"))
-    return sims.withColumn("_r", rank).filter(F.col("_r") <= top).drop("_r")
+    return best.withColumn("_r", rank).filter(F.col("_r") <= top).drop("_r")
+
+
+class Block:
+    """Vectors by column: for sparse ones lists of (vector, weight), for nearly full ones a matrix."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(parts).combine_chunks().sort_by("id")  # so that of equal sims the smaller id comes first
+        self.ids = table.column("id").combine_chunks()
+        size, column, weight = _flat(table)
+        self.rows = len(size)
+        self.columns, number = np.unique(column, return_inverse=True)
+        owner = np.repeat(np.arange(self.rows), size)
+        self.dense = None
+        if len(column) * 8 >= self.rows * len(self.columns) and self.rows * len(self.columns) <= DENSE:
+            self.dense, self.has = (np.zeros((len(self.columns), self.rows)) for _ in range(2))
+            np.add.at(self.dense, (number, owner), weight)
+            self.has[number, owner] = 1
+            return
+        by = np.argsort(number, kind="stable")
+        self.owner, self.weight = owner[by], weight[by]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(self.columns)))])
+
+    def _products(self, size: np.ndarray, column: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(vectors with a shared column, sims) for each asked vector."""
+        at = np.minimum(np.searchsorted(self.columns, column), max(0, len(self.columns) - 1))
+        known = self.columns[at] == column
+        asker = np.repeat(np.arange(len(size)), size)[known]
+        at, weight = at[known], weight[known]
+        if self.dense is not None:
+            asked, mark = (np.zeros((len(size), len(self.columns))) for _ in range(2))
+            np.add.at(asked, (asker, at), weight)
+            mark[asker, at] = 1
+            sims, meet = asked @ self.dense, mark @ self.has
+            for k in range(len(size)):
+                hit = np.flatnonzero(meet[k])
+                yield hit, sims[k, hit]
+            return
+        cuts = np.searchsorted(asker, np.arange(len(size) + 1))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            n = self.begin[at[a:b] + 1] - self.begin[at[a:b]]
+            place = np.repeat(self.begin[at[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            found, inverse = np.unique(self.owner[place], return_inverse=True)
+            yield found, np.bincount(inverse, self.weight[place] * np.repeat(weight[a:b], n), len(found))
+
+    def best(self, asked: pa.RecordBatch, top: int) -> pa.RecordBatch:
+        picked, sims, counts = [], [], []
+        for hit, sim in self._products(*_flat(asked)):
+            order = np.lexsort((hit, -np.round(sim, 9)))[:top]
+            picked.append(hit[order])
+            sims.append(sim[order])
+            counts.append(len(order))
+        src = asked.column("id").take(pa.array(np.repeat(np.arange(len(counts)), counts), pa.int64()))
+        dst = self.ids.take(pa.array(np.concatenate([*picked, np.empty(0, np.int64)]).astype(np.int64)))
+        return pa.RecordBatch.from_arrays([src, dst, pa.array(np.concatenate([*sims, np.empty(0)]))], names=["src", "dst", "sim"])
+
+
+def _flat(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(size, columns, weights) of the vectors (c, w) of a table."""
+    c, w = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (table.column("c"), table.column("w")))
+    return pc.list_value_length(c).to_numpy(zero_copy_only=False).astype(np.int64), c.flatten().to_numpy(), w.flatten().to_numpy()
 
 
 def to_distances(sims: DataFrame) -> DataFrame:

@@ -150,11 +150,21 @@ def test_graph(spark):
     assert abs(graph.displacement(xy, turned).first()["procrustes"]) < 1e-9
 
 
-def test_product_over_a_hot_column(spark, monkeypatch):
-    df = spark.createDataFrame([(i, c, float(1 + (i * c) % 3)) for i in range(30) for c in (0, 1 + i % 3)], ["i", "c", "w"])
-    plain = rows(graph.product_top(df, "i", "c", "w", 5))
-    monkeypatch.setattr(graph, "HOT_COLUMN", 4)
-    assert rows(graph.product_top(df, "i", "c", "w", 5)) == plain
+def test_products_against_plain_sums(spark, monkeypatch):
+    """Sparse and full blocks, one shard and many, a column that all rows share, ties, string ids."""
+    rng = random.Random(21)
+    data = {(f"r{i:03d}", c): rng.choice([0.25, 0.5, 1.0, rng.random()]) for i in range(60) for c in [0, *rng.sample(range(1, 40), 4)] if i % 7 or c}
+    df = spark.createDataFrame([(i, c, w) for (i, c), w in data.items()], ["i", "c", "w"])
+    ids = sorted({i for i, _ in data})
+    expected = []
+    for a in ids:
+        sims = [(-round(sum(w * data[b, c] for (i, c), w in data.items() if i == a and (b, c) in data), 9), b) for b in ids if any(i == a and (b, c) in data for i, c in data)]
+        expected += [(a, b, -s) for s, b in sorted(sims)[:5]]
+    for dense, shard in ((1 << 24, None), (0, None), (1 << 24, 7), (0, 7)):
+        monkeypatch.setattr(graph, "DENSE", dense)
+        got = [(r["src"], r["dst"], round(r["sim"], 9)) for r in graph.product_top(df, "i", "c", "w", 5, shard).collect()]
+        assert sorted(got) == sorted(expected)
+    assert graph.product_top(df.limit(0), "i", "c", "w", 5).count() == 0
 
 
 def test_cigar_and_umis(spark):
