@@ -77,9 +77,12 @@ def longest_run(seq: Column) -> Column:
 
 
 def hamming(seq: Column, other: Column | str, length: int) -> Column:
-    """Positions of the first `length` that differ; missing bases differ."""
-    other = F.lit(other) if isinstance(other, str) else other
-    return F.aggregate(F.sequence(F.lit(1), F.lit(length)), F.lit(0), lambda a, i: a + (F.substr(seq, i, F.lit(1)) != F.substr(other, i, F.lit(1))).cast("int"))
+    """Positions of the first `length` that differ; missing bases differ. One sum of comparisons, in generated code."""
+    at = lambda k: F.substring(other, k, 1) if isinstance(other, Column) else F.lit(other[k - 1 : k])
+    off = F.lit(0)
+    for k in range(1, length + 1):
+        off = off + F.when(F.substring(seq, k, 1) != at(k), 1).otherwise(0)
+    return off
 
 
 def near_homopolymer(seq: Column, length: int, tolerance: int) -> Column:
@@ -97,8 +100,10 @@ def neighbours(df: DataFrame, seq: str, length: int, keep: list[str] | None = No
 
 
 def expand_n(seq: Column) -> Column:
-    """Array of the strings that a string with exactly one N can stand for."""
-    return F.transform(F.array(*map(F.lit, "ACGT")), lambda b: F.replace(seq, F.lit("N"), b))
+    """Array of the strings that a string can stand for: every N is each of A, C, G, T. Without N, the string itself."""
+    each = lambda s: F.transform(F.array(*map(F.lit, "ACGT")), lambda b: F.overlay(s, b, F.instr(s, "N")))
+    rounds = F.filter(F.sequence(F.lit(0), count_base(seq, "N")), lambda k: k > 0)
+    return F.aggregate(rounds, F.array(seq), lambda found, _: F.flatten(F.transform(found, each)))
 
 
 #: What each pair of bases 8-9 becomes in a remapped cell barcode.

@@ -69,13 +69,10 @@ def clip01(x: Column) -> Column:
     return F.greatest(F.least(x, F.lit(1.0)), F.lit(0.0))
 
 
-def min_max(x: str) -> Column:
-    """x scaled to 0 ... 1 over the whole table; null where all values are equal."""
-    from pyspark.sql import Window
-
-    everything = Window.partitionBy()
-    low, high = F.min(x).over(everything), F.max(x).over(everything)
-    return F.try_divide(F.col(x) - low, high - low)
+def min_max(df: DataFrame, x: str, name: str) -> DataFrame:
+    """df with x scaled to 0 ... 1 over the whole table; null where all values are equal."""
+    ends = df.agg(F.min(x).alias("_low"), F.max(x).alias("_high"))  # one row
+    return df.join(F.broadcast(ends)).withColumn(name, F.try_divide(F.col(x) - F.col("_low"), F.col("_high") - F.col("_low"))).drop("_low", "_high")
 
 
 def natural_order(label: Column) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from beadloom.functions.text import basename, before, hyperlink, pad_indexes
 
-#: Order in which index kits are asked.
+#: The second index of names such as D701, and the order in which index kits are asked.
+SINGLE_I5 = "CGAGATCT"
 KITS = ("ND", "D7", "TT", "NT", "NN", "TS")
 
 
@@ -26,6 +27,12 @@ def dual_names(df: DataFrame, name: str = "name") -> DataFrame:
     return df.withColumns({"i7_name": F.when(dual, F.left(name, F.lit(4))), "i5_name": F.when(dual, F.right(name, F.lit(4)))})
 
 
+def single_indexes(df: DataFrame, name: str = "name") -> DataFrame:
+    """df with i7_name of names such as D701, and i5, which is the same for all of them; null for other names."""
+    single = F.col(name).rlike("^[ND]7[0-9]{2}$")
+    return df.withColumns({"i7_name": F.when(single, F.col(name)), "i5": F.when(single, F.lit(SINGLE_I5))})
+
+
 def sheet(df: DataFrame) -> str:
     """Text of a sample sheet of (lane, sample, i7, i5), indexes padded; a small table is gathered for it."""
     rows = pad_indexes(df.select("lane", "sample", "i7", "i5").distinct()).orderBy("lane", "sample").collect()

@@ -164,8 +164,9 @@ def grid_perimeter(grid: pd.DataFrame) -> np.ndarray:
 
 
 def grid_width(grid: pd.DataFrame) -> float:
-    """Mean distance between neighbours across curves."""
-    return float(np.hypot(*np.moveaxis(np.diff(_square(grid), axis=0), 2, 0)).mean())
+    """Mean distance between the first and the last curve, at equal places along them."""
+    g = _square(grid)
+    return float(np.hypot(*(g[-1] - g[0]).T).mean())
 
 
 def grid_lines(grid: pd.DataFrame) -> list[np.ndarray]:
@@ -173,33 +174,96 @@ def grid_lines(grid: pd.DataFrame) -> list[np.ndarray]:
     return [*g, *g.transpose(1, 0, 2)]
 
 
+def _border(grid: pd.DataFrame) -> np.ndarray:
+    """(x, y, i, r) of the vertices around a grid; corners come twice, once for each side."""
+    g = grid.assign(i=_ranked(grid["i"]), r=_ranked(grid["r"]))
+    sides = [("i", 1, "r", True), ("r", 1, "i", False), ("i", 0, "r", False), ("r", 0, "i", True)]
+    return np.vstack([g[g[on] == end].sort_values(by, ascending=up)[["x", "y", "i", "r"]].to_numpy(float) for on, end, by, up in sides])
+
+
+def _ranked(v: pd.Series) -> pd.Series:
+    return (v - v.min()) / (v.max() - v.min())
+
+
+def _within(x: np.ndarray, y: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """Whether points lie strictly inside a closed polygon."""
+    inside, on = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for (ax, ay), (bx, by) in zip(shape, np.roll(shape, -1, axis=0), strict=True):
+        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        on |= (cross == 0) & (x >= min(ax, bx)) & (x <= max(ax, bx)) & (y >= min(ay, by)) & (y <= max(ay, by))
+        if ay != by:
+            inside ^= ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+    return inside & ~on
+
+
+def _cells(x: np.ndarray, y: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """For points inside a grid the number of the cell that holds each, the first of several; the nearest by its middle where none does."""
+    quads = np.stack([g[:-1, :-1], g[1:, :-1], g[1:, 1:], g[:-1, 1:]], axis=2).reshape(-1, 4, 2)
+    out = np.empty(len(x), np.int64)
+    for k in range(0, len(x), step := max(1, (1 << 20) // len(quads))):
+        px, py = x[k : k + step, None], y[k : k + step, None]
+        inside, on = np.zeros((px.size, len(quads)), bool), np.zeros((px.size, len(quads)), bool)
+        for c in range(4):
+            (ax, ay), (bx, by) = quads[:, c].T, quads[:, (c + 1) % 4].T
+            cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+            on |= (cross == 0) & (px >= np.minimum(ax, bx)) & (px <= np.maximum(ax, bx)) & (py >= np.minimum(ay, by)) & (py <= np.maximum(ay, by))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                inside ^= ((ay > py) != (by > py)) & (px < (bx - ax) * (py - ay) / (by - ay) + ax)
+        held = inside | on
+        middle = quads.mean(axis=1)
+        near = ((middle[:, 0] - px) ** 2 + (middle[:, 1] - py) ** 2).argmin(axis=1)
+        out[k : k + step] = np.where(held.any(axis=1), held.argmax(axis=1), near)
+    return out
+
+
+def _gap(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance of each point from the line through its a and b."""
+    d = b - a
+    return np.abs(d[:, 0] * (y - a[:, 1]) - d[:, 1] * (x - a[:, 0])) / np.hypot(d[:, 0], d[:, 1])
+
+
+def grid_places(x: np.ndarray, y: np.ndarray, grid: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(i, r) of points. Inside, by the distances to the opposite sides of the cell that holds a point, along the lines of
+    its sides; on the border or outside, i by the distance to the nearest vertex of the border in widths of the grid, r by
+    the foot on the line of the two nearest ones. Both must lie on the same one of the outer curves, else an error.
+    """
+    g, border = _square(grid), _border(grid)
+    places = [np.sort(grid[c].unique()).astype(float) for c in ("i", "r")]
+    i, r = np.empty(len(x)), np.empty(len(x))
+    inside = _within(x, y, border[:, :2][np.append(True, (np.diff(border[:, :2], axis=0) != 0).any(axis=1))])
+    if inside.any():
+        px, py = x[inside], y[inside]
+        cell = _cells(px, py, g)
+        ci, cr = cell // (g.shape[1] - 1), cell % (g.shape[1] - 1)
+        a, b, c, d = g[ci, cr], g[ci + 1, cr], g[ci, cr + 1], g[ci + 1, cr + 1]
+        for out, v, k, (low, high) in ((r, places[1], cr, (_gap(px, py, a, b), _gap(px, py, c, d))), (i, places[0], ci, (_gap(px, py, a, c), _gap(px, py, b, d)))):
+            out[inside] = (v[k] * high + v[k + 1] * low) / (low + high)
+    out = np.flatnonzero(~inside)
+    width = grid_width(grid)
+    for k in range(0, len(out), step := max(1, (1 << 20) // len(border))):
+        at = out[k : k + step]
+        gap = np.hypot(x[at, None] - border[:, 0], y[at, None] - border[:, 1])
+        near = np.argsort(gap, axis=1, kind="stable")[:, :2]
+        first, second = border[near[:, 0]], border[near[:, 1]]
+        if not (np.isin(first[:, 2], (0, 1)) & (first[:, 2] == second[:, 2])).all():
+            raise ValueError("a point outside is nearest to neither the first nor the last curve; make the grid longer")
+        d1, d2 = np.take_along_axis(gap, near, 1).T
+        i[at] = np.where(first[:, 2] == 0, -d1 / width, 1 + d1 / width)
+        leg = second[:, :2] - first[:, :2]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            p = np.clip(((x[at] - first[:, 0]) * leg[:, 0] + (y[at] - first[:, 1]) * leg[:, 1]) / (leg * leg).sum(axis=1), 0, 1)
+        r[at] = np.where(d1 == d2, (first[:, 3] + second[:, 3]) / 2, first[:, 3] * (1 - p) + second[:, 3] * p)
+    return i, r
+
+
 def to_grid(df: DataFrame, grid: pd.DataFrame) -> DataFrame:
-    """df (x, y) with i and r: inside, by inverting the bilinear map of the nearest grid cell; outside, extrapolated from it."""
-    g = _square(grid)
-    ni, nr = g.shape[:2]
+    """df (x, y) with i and r by grid_places(), a batch at a time. The grid is a small parameter. Coordinates are finite."""
+    _square(grid)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in ("i", "r"))
 
     def run(parts):
-        quads = np.stack([g[:-1, :-1], g[1:, :-1], g[:-1, 1:], g[1:, 1:]], axis=2).reshape(-1, 4, 2)
-        middle = quads.mean(axis=1)
         for p in parts:
-            xy = p[["x", "y"]].to_numpy(float)
-            out = np.empty((len(p), 2))
-            for k, point in enumerate(xy):
-                best = None
-                for c in np.argsort(((middle - point) ** 2).sum(1))[:9]:
-                    a, b, d, e = quads[c]
-                    s = np.array([0.5, 0.5])
-                    for _ in range(12):  # Newton steps
-                        u, v = s
-                        f = a * (1 - u) * (1 - v) + b * u * (1 - v) + d * (1 - u) * v + e * u * v - point
-                        jac = np.column_stack([(b - a) * (1 - v) + (e - d) * v, (d - a) * (1 - u) + (e - b) * u])
-                        step = np.linalg.lstsq(jac, f, rcond=None)[0]
-                        s = s - step
-                    over = float(np.maximum(np.abs(s - 0.5) - 0.5, 0).sum())
-                    if best is None or over < best[0] - 1e-9:
-                        best = (over, (c // (nr - 1) + s[0]) / (ni - 1), (c % (nr - 1) + s[1]) / (nr - 1))
-                out[k] = best[1:]
-            yield p.drop(columns=[c for c in ("i", "r") if c in p]).assign(i=out[:, 0], r=out[:, 1])
-
-    return df.mapInPandas(run, f"{schema}, i double, r double")
+            i, r = grid_places(p["x"].to_numpy(float), p["y"].to_numpy(float), grid)
+            yield p.drop(columns=[c for c in ("i", "r") if c in p]).assign(i=i, r=r)
+
+    return validated(df, "x", "y").mapInPandas(run, f"{schema}, i double, r double")

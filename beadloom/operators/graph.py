@@ -172,15 +172,37 @@ def masked(edges: DataFrame, nodes: DataFrame, node: str = "id") -> DataFrame:
     return edges.join(keep, F.col("src") == F.col("_n"), "left_semi").join(keep, F.col("dst") == F.col("_n"), "left_semi")
 
 
-def peeled(edges: DataFrame, least: int) -> DataFrame:
-    """Edges left when nodes with fewer than `least` out-edges go, again and again until none does."""
+def peeled(edges: DataFrame, least: int, history: list[tuple[str, int]] | None = None) -> DataFrame:
+    """Edges left when nodes with fewer than `least` out-edges go, again and again until none does.
+
+    history, if given, gets ("too few neighbours", source nodes gone) for each round that changed something.
+    """
     now, before = cut(edges), None
     while (n := now.count()) != before:
         before = n
-        now = cut(masked(now, now.groupBy("src").count().filter(F.col("count") >= least), "src"))
+        out = now.groupBy("src").count()
+        if history is not None and (gone := out.filter(F.col("count") < least).count()):
+            history.append(("too few neighbours", gone))
+        now = cut(masked(now, out.filter(F.col("count") >= least), "src"))
     return now
 
 
+def clustered(edges: DataFrame, least: float = 0.2) -> DataFrame:
+    """Edges between nodes whose weighted clustering (see node_metrics()) is at least `least`."""
+    return masked(edges, node_metrics(undirected(edges)).filter(F.col("weighted") >= least))
+
+
+def cluster_neighbours(edges: DataFrame, membership: DataFrame, k: int = 15) -> DataFrame:
+    """(src, dst, dist, rank): for each group of membership (id, group) the k nearest groups by their edges to others.
+
+    edges (src, dst, w) are contracted, every group's weights scaled to length 1, and groups compared by inner product;
+    dist is 1 less that, held within 0 ... 1, and pairs at 0 are none. Groups with fewer neighbours have fewer rows.
+    """
+    between = contracted(edges, membership)
+    unit = between.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("src"))))
+    return nearest(to_distances(product_top(unit, "src", "dst", "w", k + 1)), k)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest node that each node of the edges reaches in either direction.
 
@@ -207,22 +229,25 @@ def largest_component(edges: DataFrame) -> DataFrame:
 
 
 def node_metrics(pairs: DataFrame) -> DataFrame:
-    """(id, degree, strength, triangles, clustering, nearest, furthest) of undirected pairs (src < dst, w).
+    """(id, degree, strength, triangles, clustering, weighted, nearest, furthest) of undirected pairs (src < dst, w).
 
-    clustering: share of a node's pairs of neighbours that are linked, 0 for fewer than two. nearest and furthest are
-    distances, 1 - w.
+    clustering: share of a node's pairs of neighbours that are linked, 0 for fewer than two. weighted: the same with
+    each pair counting as the mean weight of the node's two edges to it, over strength * (degree - 1) / 2. nearest and
+    furthest are distances, 1 - w.
     """
     both = pairs.select(F.col("src").alias("id"), F.col("dst").alias("other"), "w").unionByName(pairs.select(F.col("dst").alias("id"), F.col("src").alias("other"), "w"))
     base = both.groupBy("id").agg(F.count("*").alias("degree"), F.sum("w").alias("strength"), (1 - F.max("w")).alias("nearest"), (1 - F.min("w")).alias("furthest"))
     # each triangle once: wedges start at the end of lower (degree, id), so a hub opens few
     rank = base.select("id", F.struct("degree", "id").alias("r"))
     e = pairs.join(rank.select(F.col("id").alias("src"), F.col("r").alias("_rs")), "src").join(rank.select(F.col("id").alias("dst"), F.col("r").alias("_rd")), "dst")
-    up = e.select(F.when(F.col("_rs") < F.col("_rd"), F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(F.col("_rs") < F.col("_rd"), F.col("dst")).otherwise(F.col("src")).alias("b"))
-    wedge = up.join(up.withColumnRenamed("b", "c"), "a").filter("b < c")
-    tri = wedge.join(pairs.select(F.col("src").alias("b"), F.col("dst").alias("c")), ["b", "c"])
-    counts = tri.select(F.explode(F.array("a", "b", "c")).alias("id")).groupBy("id").agg(F.count("*").alias("triangles"))
+    up = e.select(F.when(F.col("_rs") < F.col("_rd"), F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(F.col("_rs") < F.col("_rd"), F.col("dst")).otherwise(F.col("src")).alias("b"), F.col("w").alias("ab"))
+    wedge = up.join(up.select("a", F.col("b").alias("c"), F.col("ab").alias("ac")), "a").filter("b < c")
+    tri = wedge.join(pairs.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("bc")), ["b", "c"])
+    corners = F.array(*(F.struct(F.col(i).alias("id"), (F.col(x) + F.col(y)).alias("w")) for i, x, y in (("a", "ab", "ac"), ("b", "ab", "bc"), ("c", "ac", "bc"))))
+    counts = tri.select(F.explode(corners).alias("t")).groupBy("t.id").agg(F.count("*").alias("triangles"), F.sum("t.w").alias("_w"))
     out = base.join(counts, "id", "left").withColumn("triangles", F.coalesce("triangles", F.lit(0)))
-    return out.withColumn("clustering", F.coalesce(F.try_divide(2 * F.col("triangles"), F.col("degree") * (F.col("degree") - 1)), F.lit(0.0)))
+    out = out.withColumn("clustering", F.coalesce(F.try_divide(2 * F.col("triangles"), F.col("degree") * (F.col("degree") - 1)), F.lit(0.0)))
+    return out.withColumn("weighted", F.coalesce(F.try_divide(F.col("_w"), F.col("strength") * (F.col("degree") - 1)), F.lit(0.0))).drop("_w")
 
 
 def constraint(pairs: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +19,12 @@ def downsample(reads: DataFrame, p: float, seed: int = 0) -> DataFrame:
     return reads if p >= 1 else reads.sample(False, p, seed)
 
 
-def bead_votes(reads: DataFrame, seq: str, first: int = 100_000, order: str | None = None) -> DataFrame:
-    """One row with the number of the first reads that have the constant site where each bead type has it.
+def bead_votes(reads: DataFrame, seq: str, first: int | None = 100_000, order: str | None = None) -> DataFrame:
+    """One row with the number of the first reads (None: of all) that have the constant site where each bead type has it.
 
     A V17 site begins with the V19 site, so V17 hits don't count for V19.
     """
-    head = (reads.orderBy(order) if order else reads).select(seq).limit(first)
+    head = reads.select(seq) if first is None else (reads.orderBy(order) if order else reads).select(seq).limit(first)
     hits = {k: F.count_if(F.substring(seq, *b.up) == b.site) for k, b in dna.BEADS.items()}
     hits["V19"] = hits["V19"] - hits["V17"]
     return head.agg(*(v.alias(k) for k, v in hits.items()))
@@ -43,6 +42,53 @@ def reads_switched(r1_hits: int, r2_hits: int) -> bool:
     return r1_hits > r2_hits
 
 
+def read_switch(hits: list[tuple[int, int]]) -> bool:
+    """reads_switched() for all pairs of files (hits of R1, hits of R2); an error where they don't agree."""
+    switched = {reads_switched(a, b) for a, b in hits}
+    if len(switched) != 1:
+        raise ValueError("the assignment of R1 and R2 isn't consistent")
+    return switched.pop()
+
+
+def puck_hit_rates(reads: DataFrame, pucks: DataFrame, seq: str = "r2") -> DataFrame:
+    """(puck, pct): per cent, to two places, of reads with the exact V10 site whose barcode each of pucks (puck, sb) has.
+
+    Fixed values: reads are cut to their first 32 bases, which leaves barcodes of 14.
+    """
+    r = F.substring(seq, 1, 32)
+    own = reads.filter(F.substring(r, 9, 18) == dna.UP_LONG).groupBy(F.concat(F.substring(r, 1, 8), F.substring(r, 27, 7)).alias("sb")).agg(F.count("*").alias("n"))
+    hit = pucks.select("puck", "sb").distinct().join(own, "sb", "left").groupBy("puck").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    total = own.agg(F.sum("n").alias("total"))  # one row
+    return hit.join(F.broadcast(total)).select("puck", F.round(F.try_divide(F.col("n") * 100, F.col("total")), 2).alias("pct"))
+
+
+def whitelist_union(*lists: DataFrame, column: str = "cb") -> DataFrame:
+    """The distinct values of all lists, sorted."""
+    return reduce(lambda a, b: a.unionByName(b), (d.select(column) for d in lists)).distinct().orderBy(column)
+
+
+def missing_from(known: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The distinct wanted values that known lacks: an empty table is the all-clear."""
+    return wanted.select(column).distinct().join(known.select(column).distinct(), column, "left_anti")
+
+
+def overlap_of(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
+    """The distinct values that both have: an empty table is the all-clear."""
+    return a.select(column).distinct().join(b.select(column).distinct(), column, "left_semi")
+
+
+def per_bead(df: DataFrame, sb: str, weight: str = "reads") -> DataFrame:
+    """(sb, reads, umis): reads and identifiers of each bead, for a row an identifier."""
+    return df.groupBy(sb).agg(F.sum(weight).alias("reads"), F.count("*").alias("umis"))
+
+
+def stacked_pucks(pucks: DataFrame) -> DataFrame:
+    """pucks (sb, x, y, puck_index) with x from 0 on, each puck beside the ones before it. A row a puck is ordered."""
+    ends = pucks.groupBy("puck_index").agg(F.min("x").alias("_low"), (F.max("x") - F.min("x")).alias("_wide"))
+    before = F.coalesce(F.sum("_wide").over(Window.orderBy("puck_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return pucks.join(F.broadcast(ends.withColumn("_at", before)), "puck_index").withColumn("x", F.col("x") - F.col("_low") + F.col("_at")).drop("_low", "_wide", "_at")
+
+
 def spatial_status(reads: DataFrame, bead: str, r1: str = "r1", r2: str = "r2") -> DataFrame:
     """reads with cb, umi, sb and status: where a read leaves the filter, or how its constant site matched.
 
@@ -222,17 +268,24 @@ def anti_both(edges: DataFrame, gone_a: DataFrame, gone_b: DataFrame, a: str, b:
     return edges.join(gone_a.select(a).distinct(), a, "left_anti").join(gone_b.select(b).distinct(), b, "left_anti")
 
 
-def factorize(df: DataFrame, key: str, index: str) -> DataFrame:
-    """df with index, 1 ... n in sorted order of the distinct keys.
+def numbered(df: DataFrame, order: list[str], index: str) -> DataFrame:
+    """df with index, 1 ... n in the given order.
 
-    Distinct keys are range-partitioned and sorted; each partition numbers its own and adds what came before, so no
-    task holds them all.
+    Rows are range-partitioned, sorted and written once, with their partition's number; each partition numbers its own
+    and adds what came before, so no task holds them all, and both readings see the same partitions.
     """
-    parts = df.select(key).distinct().repartitionByRange(key).sortWithinPartitions(key).withColumn("_p", F.spark_partition_id())
-    own = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
-    sizes = own.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ids = own.join(F.broadcast(sizes.select("_p", "_before")), "_p")  # a row for each partition
-    return df.join(ids.select(key, (F.col("_i") + F.col("_before")).cast("bigint").alias(index)), key)
+    from beadloom.operators.graph import cut
+
+    parts = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()))
+    own = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    sizes = parts.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    found = own.join(F.broadcast(sizes.select("_p", "_before")), "_p")  # a row for each partition
+    return found.select(*df.columns, (F.col("_i") + F.col("_before")).cast("bigint").alias(index))
+
+
+def factorize(df: DataFrame, key: str, index: str) -> DataFrame:
+    """df with index, 1 ... n in sorted order of the distinct keys."""
+    return df.join(numbered(df.select(key).distinct(), [key], index), key)
 
 
 def downsampling_curve(hist: DataFrame, value: str = "reads", n: str = "n", steps: int = 20) -> DataFrame:
@@ -249,10 +302,16 @@ def downsampling_curve(hist: DataFrame, value: str = "reads", n: str = "n", step
 
 
 def thin(df: DataFrame, p: float, seed: int = 0, weight: str = "reads") -> DataFrame:
-    """Counts replaced by binomial draws of probability p, zeros dropped; the same for a seed and a row."""
+    """Counts replaced by binomial draws of probability p, zeros dropped; the same for a seed and a row.
 
-    @F.pandas_udf("bigint")
-    def draw(n: pd.Series, h: pd.Series) -> pd.Series:
-        return pd.Series([np.random.default_rng([seed, k & (2**63 - 1)]).binomial(m, p) for m, k in zip(n, h, strict=True)])
-
-    return df.withColumn(weight, draw(weight, F.xxhash64(*df.columns))).filter(F.col(weight) > 0)
+    A count of n is n draws, each by a hash of the row, the seed and its number; beyond 64 the rest are one draw from
+    the normal approximation with the right mean and variance, by two such hashes.
+    """
+    uniform = lambda k: (F.pmod(F.xxhash64(F.col("_h"), k), F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
+    few = F.least(F.col(weight), F.lit(64)).cast("int")
+    hits = F.aggregate(F.sequence(F.lit(0), few), F.lit(0), lambda a, k: a + F.when((k > 0) & (uniform(k) < p), 1).otherwise(0))
+    rest = (F.col(weight) - few).cast("double")
+    normal = F.sqrt(-2 * F.log(uniform(F.lit(-1)))) * F.cos(2 * np.pi * uniform(F.lit(-2)))
+    more = F.least(F.greatest(F.round(rest * p + normal * F.sqrt(rest * p * (1 - p))), F.lit(0.0)), rest)
+    drawn = df.withColumn("_h", F.xxhash64(*df.columns, F.lit(seed)))
+    return drawn.withColumn(weight, (hits + F.when(rest > 0, more).otherwise(0.0)).cast("bigint")).drop("_h").filter(F.col(weight) > 0)

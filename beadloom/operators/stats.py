@@ -87,15 +87,19 @@ def interval_union(df: DataFrame, key: str, start: str = "start", end: str = "en
 def stabbing_counts(points: DataFrame, intervals: DataFrame, key: str, pos: str, start: str = "start", end: str = "end", buffer: int | None = None) -> DataFrame:
     """points with covers: intervals of the same key with start <= pos < end.
 
-    With buffer b, those that reach more than b beyond pos on both sides: start + b < pos and pos + b < end. The equality
-    on key makes a hash join of it; a key's intervals are few.
+    With buffer b, those that reach more than b beyond pos on both sides: start + b < pos and pos + b < end. Positions
+    are whole numbers. A sweep: each interval opens at its first covered position and closes after its last, equal
+    events are summed first, and a running sum by key meets the points; nothing grows with points times intervals.
     """
-    i = intervals.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-    p = F.col(pos)
-    inside = (F.col("_s") <= p) & (p < F.col("_e")) if buffer is None else (F.col("_s") + buffer < p) & (p + buffer < F.col("_e"))
-    sites = points.select(key, pos).distinct()
-    hits = sites.join(i, (F.col(key) == F.col("_k")) & inside).groupBy(key, pos).agg(F.count("*").alias("covers"))
-    return points.join(hits, [key, pos], "left").withColumn("covers", F.coalesce("covers", F.lit(0)))
+    first, last = (F.col(start), F.col(end)) if buffer is None else (F.col(start) + buffer + 1, F.col(end) - buffer)
+    i = intervals.select(F.col(key).alias("_k"), first.alias("_a"), last.alias("_b")).filter("_a < _b")
+    events = i.select("_k", F.explode(F.array(F.struct(F.col("_a").alias("at"), F.lit(1).alias("d")), F.struct(F.col("_b").alias("at"), F.lit(-1).alias("d")))).alias("e"))
+    asked = points.select(F.col(key).alias("_k"), F.col(pos).alias("_p"), F.lit(0).cast("bigint").alias("_d"), F.lit(1).alias("_q")).distinct()
+    steps = events.groupBy("_k", F.col("e.at").cast(points.schema[pos].dataType).alias("_p")).agg(F.sum("e.d").alias("_d")).withColumn("_q", F.lit(0))
+    both = steps.unionByName(asked)
+    covers = F.sum("_d").over(Window.partitionBy("_k").orderBy("_p", "_q").rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("covers", covers).filter("_q = 1").select(F.col("_k").alias(key), F.col("_p").alias(pos), "covers")
+    return points.join(found, [key, pos], "left").withColumn("covers", F.coalesce("covers", F.lit(0)))
 
 
 def most_covered(df: DataFrame, low: str, high: str) -> DataFrame:
@@ -167,9 +171,11 @@ def argmax_last(df: DataFrame, index: str, value: str) -> DataFrame:
 
 def quantile_rows(df: DataFrame, score: str, shares: list[float]) -> DataFrame:
     """The rows at the given shares of the table sorted by score (halves to even), with share."""
-    ranked = df.withColumn("_r", F.row_number().over(Window.orderBy(score, *[c for c in df.columns if c != score]))).withColumn("_n", F.count("*").over(Window.partitionBy()))
-    picks = F.filter(F.array(*map(F.lit, shares)), lambda p: F.bround(p * F.col("_n"), 0) == F.col("_r"))
-    return ranked.withColumn("share", F.explode(picks)).drop("_r", "_n")
+    from beadloom.operators.reads import numbered
+
+    wanted = F.explode(F.array(*map(F.lit, shares))).alias("share")
+    places = df.agg(F.count("*").alias("_n")).select("_n", wanted).select("share", F.bround(F.col("share") * F.col("_n"), 0).cast("bigint").alias("_r"))
+    return numbered(df, [score, *(c for c in df.columns if c != score)], "_r").join(F.broadcast(places), "_r").drop("_r")  # a row for each share
 
 
 def binned(df: DataFrame, x: str, y: str, width: float, weight: Column | None = None) -> DataFrame:
@@ -182,6 +188,11 @@ def fraction(df: DataFrame, key: str, condition: Column, weight: Column | None =
     return df.groupBy(key).agg(F.try_divide(F.sum(F.when(condition, w).otherwise(0)), F.sum(w)).alias("fraction"))
 
 
+def placed_share(df: DataFrame, cluster: str, placed: str) -> DataFrame:
+    """(cluster, pct): per cent of each cluster's rows that are placed."""
+    return df.groupBy(cluster).agg((F.avg(F.coalesce(F.col(placed), F.lit(False)).cast("int")) * 100).alias("pct"))
+
+
 def contamination(raw: DataFrame, clean: DataFrame, key: str, n: str = "n") -> DataFrame:
     """(key, fraction) = (raw - clean) / raw, for keys that both tables have."""
     a, b = raw.groupBy(key).agg(F.sum(n).alias("_a")), clean.groupBy(key).agg(F.sum(n).alias("_b"))

@@ -186,7 +186,7 @@ def pair_waterfall(spark, sf_dir):
 
 @query(f"SELECT count(*) FILTER (WHERE substr(r, 9, 18) = 'TCTTCAGCGTTCCCGAGA') AS V10, count(*) FILTER (WHERE substr(r, 16, 10) = 'CTGTTTCCTG') AS V15, count(*) FILTER (WHERE substr(r, 18, 10) = 'CTGTTTCCTG') AS V16, count(*) FILTER (WHERE substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA') AS V17, count(*) FILTER (WHERE substr(r, 10, 10) = 'TCTTCAGCGT') - count(*) FILTER (WHERE substr(r, 10, 18) = 'TCTTCAGCGTTCCCGAGA') AS V19 FROM (SELECT {_R2} AS r FROM lineitem)")
 def bead_votes(spark, sf_dir):
-    return reads.bead_votes(_reads(spark, sf_dir), "r2", first=10**9)
+    return reads.bead_votes(_reads(spark, sf_dir), "r2", first=None)
 
 
 @query(f"""WITH p AS (SELECT {_kmer('p_partkey % 1500', 14)} AS sb, p_partkey FROM part), c AS (SELECT *, count(*) OVER (PARTITION BY sb) AS n, {_RUN.replace('(s,', '(sb,')} AS run FROM p)
@@ -307,6 +307,69 @@ def downsample_curve(spark, sf_dir):
     return reads.downsampling_curve(reads.histogram(_umis(spark, sf_dir), "reads")).select("p", F.round("umis", 4).alias("umis"))
 
 
+@query(f"WITH {_UMIS} SELECT sb, CAST(sum(reads) AS BIGINT) AS reads, count(*) AS umis FROM u GROUP BY sb")
+def per_bead(spark, sf_dir):
+    return reads.per_bead(_umis(spark, sf_dir), "sb")
+
+
+@query("SELECT DISTINCT k FROM (SELECT s_nationkey AS k FROM supplier UNION ALL SELECT c_nationkey FROM customer)")
+def whitelist_union(spark, sf_dir):
+    return reads.whitelist_union(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")), table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), column="k")
+
+
+@query("SELECT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def missing_report(spark, sf_dir):
+    return reads.missing_from(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey IN (SELECT l_suppkey FROM lineitem)")
+def overlap_report(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return reads.overlap_of(li.select(F.col("l_partkey").alias("k")), li.select(F.col("l_suppkey").alias("k")), "k")
+
+
+_V10 = f"({_kmer('l_partkey', 8)} || CASE l_orderkey % 3 WHEN 0 THEN 'TCTTCAGCGTTCCCGAGA' ELSE 'TCTTCAGAGTTCCCGATA' END || {_kmer('l_suppkey', 7)})"
+
+
+@query(f"""WITH r AS (SELECT substr(v, 1, 8) || substr(v, 27, 6) AS sb FROM (SELECT {_V10} AS v FROM lineitem) WHERE substr(v, 9, 18) = 'TCTTCAGCGTTCCCGAGA'),
+p AS (SELECT DISTINCT p_partkey % 3 AS puck, {_kmer('p_partkey', 8)} || substr({_kmer('s_suppkey', 7)}, 1, 6) AS sb FROM part, supplier WHERE p_partkey % 10 = s_suppkey % 10 AND p_partkey % 3 = s_suppkey % 3)
+SELECT puck, round(count(r.sb) * 100.0 / (SELECT count(*) FROM r), 2) AS pct FROM p LEFT JOIN r ON r.sb = p.sb GROUP BY puck""")
+def puck_hit_rates(spark, sf_dir):
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    site = F.when(F.col("l_orderkey") % 3 == 0, dna.UP_LONG).otherwise("TCTTCAGAGTTCCCGATA")
+    r = table(spark, sf_dir, "lineitem").select(F.concat(dna.kmer(p, 8), site, dna.kmer(s, 7)).alias("r2"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 10).alias("a"), (F.col("p_partkey") % 3).alias("puck"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 10).alias("a"), (F.col("s_suppkey") % 3).alias("puck"))
+    pucks = parts.join(suppliers, ["a", "puck"]).select("puck", F.concat(dna.kmer(F.col("p_partkey"), 8), F.substring(dna.kmer(F.col("s_suppkey"), 7), 1, 6)).alias("sb"))
+    return reads.puck_hit_rates(r, pucks)
+
+
+@query(f"""WITH {_BEADS}, p AS (SELECT sb, x, y, sb % 3 AS k FROM b), e AS (SELECT k, min(x) AS low, max(x) - min(x) AS wide FROM p GROUP BY k), s AS (SELECT k, low, coalesce(sum(wide) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM e)
+SELECT sb, x - low + base AS x, y FROM p JOIN s USING (k)""")
+def stacked_pucks(spark, sf_dir):
+    return reads.stacked_pucks(_beads(spark, sf_dir).withColumn("puck_index", F.col("sb") % 3)).select("sb", "x", "y")
+
+
+@query(f"""WITH s AS (SELECT p_partkey, {_kmer('p_partkey', 6)} AS s FROM part), n AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN s ELSE 'N' || substr(s, 2, p_partkey % 3) || 'N' || substr(s, 5) END AS s FROM s)
+SELECT p_partkey, replace_first AS seq FROM (SELECT p_partkey, CASE WHEN contains(s, 'N') THEN a || substr(s, 2, p_partkey % 3) || b || substr(s, p_partkey % 3 + 3) ELSE s END AS replace_first, contains(s, 'N') AS has, a, b FROM n, (SELECT unnest(['A', 'C', 'G', 'T']) AS a), (SELECT unnest(['A', 'C', 'G', 'T']) AS b)) WHERE has OR (a = 'A' AND b = 'A')""")
+def n_expansion(spark, sf_dir):
+    k = F.col("p_partkey")
+    s = dna.kmer(k, 6)
+    seq = F.when(k % 3 == 0, s).otherwise(F.concat(F.lit("N"), F.substr(s, F.lit(2), (k % 3).cast("int")), F.lit("N"), F.substr(s, F.lit(5))))
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(dna.expand_n(seq)).alias("seq"))
+
+
+@query("SELECT c_mktsegment AS cluster, round(avg(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) * 100, 6) AS pct FROM customer GROUP BY 1")
+def placed_share(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("cluster"), (F.col("c_acctbal") > 0).alias("placed"))
+    return stats.placed_share(c, "cluster", "placed").select("cluster", F.round("pct", 6).alias("pct"))
+
+
+@query("SELECT 'D7' || right('0' || CAST(n_nationkey AS VARCHAR), 2) AS name, 'D7' || right('0' || CAST(n_nationkey AS VARCHAR), 2) AS i7_name, 'CGAGATCT' AS i5 FROM nation")
+def single_indexes(spark, sf_dir):
+    return bookkeeping.single_indexes(table(spark, sf_dir, "nation").select(F.concat(F.lit("D7"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("name")))
+
+
 # --- statistics ---
 
 
@@ -465,11 +528,11 @@ def symmetrize(spark, sf_dir):
 
 
 @query(f"""WITH {_PAIRS}, b AS (SELECT src AS id, dst AS other, w FROM p UNION ALL SELECT dst, src, w FROM p), d AS (SELECT id, count(*) AS degree, sum(w) AS strength, 1 - max(w) AS nearest, 1 - min(w) AS furthest FROM b GROUP BY id),
-t AS (SELECT x.id, count(*) AS n FROM b x JOIN b y ON x.id = y.id AND x.other < y.other JOIN p ON p.src = x.other AND p.dst = y.other GROUP BY x.id)
-SELECT d.id, degree, round(strength, 6) AS strength, coalesce(n, 0) AS triangles, round(CASE WHEN degree > 1 THEN 2.0 * coalesce(n, 0) / (degree * (degree - 1)) ELSE 0 END, 6) AS clustering, round(nearest, 6) AS nearest, round(furthest, 6) AS furthest FROM d LEFT JOIN t ON t.id = d.id""")
+t AS (SELECT x.id, count(*) AS n, sum(x.w + y.w) AS w FROM b x JOIN b y ON x.id = y.id AND x.other < y.other JOIN p ON p.src = x.other AND p.dst = y.other GROUP BY x.id)
+SELECT d.id, degree, round(strength, 6) AS strength, coalesce(n, 0) AS triangles, round(CASE WHEN degree > 1 THEN 2.0 * coalesce(n, 0) / (degree * (degree - 1)) ELSE 0 END, 6) AS clustering, round(CASE WHEN degree > 1 THEN coalesce(t.w, 0) / (strength * (degree - 1)) ELSE 0 END, 6) AS weighted, round(nearest, 6) AS nearest, round(furthest, 6) AS furthest FROM d LEFT JOIN t ON t.id = d.id""")
 def graph_stats(spark, sf_dir):
     m = graph.node_metrics(graph.undirected(_edges(spark, sf_dir)))
-    return m.select("id", "degree", F.round("strength", 6).alias("strength"), "triangles", *(F.round(c, 6).alias(c) for c in ("clustering", "nearest", "furthest")))
+    return m.select("id", "degree", F.round("strength", 6).alias("strength"), "triangles", *(F.round(c, 6).alias(c) for c in ("clustering", "weighted", "nearest", "furthest")))
 
 
 @query(f"""WITH {_PAIRS}, b AS (SELECT src AS i, dst AS j, w FROM p UNION ALL SELECT dst, src, w FROM p), q AS (SELECT i, j, w / sum(w) OVER (PARTITION BY i) AS p FROM b), v AS (SELECT x.i, y.j, sum(x.p * y.p) AS p FROM q x JOIN q y ON x.j = y.i GROUP BY 1, 2)
@@ -485,21 +548,41 @@ def contract(spark, sf_dir):
     return graph.contracted(p, nodes).select("src", "dst", F.round("w", 6).alias("w"))
 
 
-@query()
+_ROUNDS = 60
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, l AS (SELECT CASE WHEN count(*) > 997 THEN 5 ELSE 1 END AS least FROM customer),
+r(k, src, dst) AS (SELECT 0, src, dst FROM e UNION ALL SELECT k + 1, src, dst FROM (SELECT *, count(*) OVER (PARTITION BY src) AS c FROM r) x, l
+    WHERE k < {_ROUNDS} AND c >= least AND dst IN (SELECT src FROM r, l GROUP BY src, least HAVING count(*) >= least)) SELECT r.src, r.dst, round(e.dist, 6) AS dist FROM r JOIN e ON e.src = r.src AND e.dst = r.dst WHERE k = {_ROUNDS}""")
 def peel_fixpoint(spark, sf_dir):
-    return graph.peeled(_edges(spark, sf_dir), 5)
+    """Five out-edges at least; one where there are fewer customers than targets, as nearly all edges lead out of them.
+
+    The SQL goes on long after nothing changes.
+    """
+    least = 5 if table(spark, sf_dir, "customer").count() > 997 else 1
+    return graph.peeled(_edges(spark, sf_dir), least).select("src", "dst", F.round("dist", 6).alias("dist"))
 
 
-@query(f"""WITH RECURSIVE {_EDGES}, k AS (SELECT src, dst FROM e WHERE dist < 0.02), b AS (SELECT src, dst FROM k UNION SELECT dst, src FROM k), r(id, c) AS (SELECT src, src FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.id), m AS (SELECT id, min(c) AS component FROM r GROUP BY id),
-l AS (SELECT component FROM m GROUP BY component ORDER BY count(*) DESC, component LIMIT 1) SELECT k.src, k.dst FROM k JOIN m ON m.id = k.src WHERE m.component = (SELECT component FROM l)""")
+@query(f"""WITH RECURSIVE {_EDGES}, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r(id, c) AS (SELECT src, src FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.id), m AS (SELECT id, min(c) AS component FROM r GROUP BY id),
+l AS (SELECT component FROM m GROUP BY component ORDER BY count(*) DESC, component LIMIT 1) SELECT e.src, e.dst FROM e JOIN m ON m.id = e.src WHERE m.component = (SELECT component FROM l)""")
 def largest_component(spark, sf_dir):
-    return graph.largest_component(_edges(spark, sf_dir).filter("dist < 0.02").select("src", "dst"))
+    return graph.largest_component(_edges(spark, sf_dir).select("src", "dst"))
 
 
-@query()
-def largest_component_all(spark, sf_dir):
-    """On all edges; recursive SQL would be too slow there. largest_component keeps only those that its SQL keeps."""
-    return graph.largest_component(_edges(spark, sf_dir).select("src", "dst"))
+@query(f"""WITH {_EDGES}, p AS (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, max(1 - dist) AS w FROM e GROUP BY 1, 2), b AS (SELECT src AS id, dst AS other, w FROM p UNION ALL SELECT dst, src, w FROM p), d AS (SELECT id, count(*) AS degree, sum(w) AS strength FROM b GROUP BY id),
+t AS (SELECT x.id, sum(x.w + y.w) AS w FROM b x JOIN b y ON x.id = y.id AND x.other < y.other JOIN p ON p.src = x.other AND p.dst = y.other GROUP BY x.id), k AS (SELECT d.id FROM d JOIN t ON t.id = d.id WHERE degree > 1 AND t.w / (strength * (degree - 1)) >= 0.02)
+SELECT src, dst, round(dist, 6) AS dist FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)""")
+def clustering_filter(spark, sf_dir):
+    return graph.clustered(_edges(spark, sf_dir), 0.02).select("src", "dst", F.round("dist", 6).alias("dist"))
+
+
+@query(f"""WITH {_PAIRS}, c AS (SELECT src % 17 AS a, dst % 17 AS b, w FROM p WHERE src % 17 <> dst % 17), g AS (SELECT a AS i, b AS j, sum(w) AS w FROM (SELECT a, b, w FROM c UNION ALL SELECT b, a, w FROM c) GROUP BY 1, 2),
+u AS (SELECT i, j, w / sqrt(sum(w * w) OVER (PARTITION BY i)) AS w FROM g), z AS (SELECT x.i AS src, y.i AS dst, sum(x.w * y.w) AS sim FROM u x JOIN u y ON x.j = y.j GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS k FROM z),
+t AS (SELECT src, dst, greatest(least(1 - round(sim, 9), 1), 0) AS dist FROM r WHERE k <= 7 AND src <> dst AND 1 - round(sim, 9) > 0), n AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM t) SELECT src, dst, round(dist, 6) AS dist, rank FROM n WHERE rank <= 6""")
+def cluster_knn(spark, sf_dir):
+    p = graph.undirected(_edges(spark, sf_dir))
+    nodes = p.select(F.col("src").alias("id")).union(p.select(F.col("dst").alias("id"))).distinct().withColumn("group", F.col("id") % 17)
+    return graph.cluster_neighbours(p, nodes, 6).select("src", "dst", F.round("dist", 6).alias("dist"), "rank")
 
 
 _MEAN = "SELECT c.id, coalesce(n.x, c.x) AS x, coalesce(n.y, c.y) AS y FROM {0} c LEFT JOIN (SELECT e.src AS id, sum((1 - dist) * q.x) / sum(1 - dist) AS x, sum((1 - dist) * q.y) / sum(1 - dist) AS y FROM e JOIN {0} q ON q.id = e.dst GROUP BY e.src) n ON n.id = c.id"
@@ -605,13 +688,8 @@ def cell_minimum(spark, sf_dir):
     return cells.cells_with(li, 600, strict=True)
 
 
-@query("SELECT g AS \"group\", coalesce(n, 0) AS n FROM (SELECT unnest(range(1, 97)) AS g) LEFT JOIN (SELECT c_custkey % 120 AS k, count(*) AS n FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1) ON k = g")
-def group_zero_fill(spark, sf_dir):
-    return stats.zero_filled(table(spark, sf_dir, "customer").filter("c_custkey % 7 = 0").select((F.col("c_custkey") % 120).alias("group")), "group", 96)
-
-
 @query("SELECT g AS \"group\", coalesce(n, 0) AS n FROM (SELECT unnest(range(1, 145)) AS g) LEFT JOIN (SELECT c_custkey % 120 + 1 AS k, count(*) AS n FROM customer GROUP BY 1) ON k = g")
-def group_zero_fill_all(spark, sf_dir):
+def group_zero_fill(spark, sf_dir):
     """All customers, in groups 1 to 120 of a range that goes on to 144."""
     return stats.zero_filled(table(spark, sf_dir, "customer").select((F.col("c_custkey") % 120 + 1).alias("group")), "group", 144)
 
@@ -696,12 +774,21 @@ def polyline_lerp(spark, sf_dir):
     return geometry.at_distances(b, wanted, "k", "sb").select("k", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+@query(f"""WITH {_BEADS}, p AS (SELECT sb, x, y, x > 100 AND x < 900 AS inside, CASE WHEN x <= 100 THEN 100 ELSE 900 END AS side, -1000 + 250 * round((y + 1000) / 250) AS near FROM b)
+SELECT sb, round(CASE WHEN inside THEN (x - 100) / 800 WHEN side = 100 THEN -sqrt((x - side) * (x - side) + (y - near) * (y - near)) / 800 ELSE 1 + sqrt((x - side) * (x - side) + (y - near) * (y - near)) / 800 END, 6) AS i, round((y + 1000) / 3000, 6) AS r FROM p""")
+def grid_places(spark, sf_dir):
+    import numpy as np
+
+    grid = geometry.grid_between([np.array([[x, -1000.0], [x, 2000.0]]) for x in (100, 900)], 5, 13)
+    return geometry.to_grid(_beads(spark, sf_dir), grid).select("sb", F.round("i", 6).alias("i"), F.round("r", 6).alias("r"))
+
+
 # --- shown tables ---
 
 
 @query("SELECT s_suppkey, round((s_acctbal - min(s_acctbal) OVER ()) / (max(s_acctbal) OVER () - min(s_acctbal) OVER ()), 6) AS scaled FROM supplier")
 def min_max_scale(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.round(text.min_max("s_acctbal"), 6).alias("scaled"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal").transform(text.min_max, "s_acctbal", "scaled").select("s_suppkey", F.round("scaled", 6).alias("scaled"))
 
 
 @query(f"WITH {_BEADS} SELECT CAST(floor(x / 50) AS BIGINT) AS bx, CAST(floor(y / 50) AS BIGINT) AS by, count(*) AS n FROM b GROUP BY 1, 2")
@@ -728,10 +815,8 @@ def puck_names(spark, sf_dir):
 
 @query("SELECT p_brand AS label, row_number() OVER (ORDER BY regexp_extract(p_brand, '^[^0-9]*'), CAST(regexp_extract(p_brand, '[0-9]+') AS BIGINT), p_brand) AS place FROM (SELECT DISTINCT p_brand FROM part)")
 def natural_sort(spark, sf_dir):
-    from pyspark.sql import Window
-
     brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("label")).distinct()
-    return brands.select("label", F.row_number().over(Window.orderBy(text.natural_order(F.col("label")))).alias("place"))
+    return reads.numbered(brands.withColumn("key", text.natural_order(F.col("label"))), ["key"], "place").select("label", "place")
 
 
 @query("SELECT '/b/run' || n_regionkey || '/fastqs/' || n_name || '_S' || n_nationkey || '.gz' AS path, 'run' || n_regionkey AS run, n_name || '_S' || n_nationkey || '.gz' AS file, split_part(n_name || '_S' || n_nationkey || '.gz', '_S', 1) AS sample FROM nation")

@@ -210,8 +210,8 @@ def test_geometry(spark):
     assert abs(line[0]["d"] - 1) < 1e-9 and abs(line[0]["r"] - 0.1) < 1e-6
     grid = geometry.grid_between([np.array([[0, 0], [0, 10.0]]), np.array([[4, 0], [4, 10.0]])], 3, 6)
     got = geometry.to_grid(spark.createDataFrame([(1.0, 2.5), (3.0, 7.5), (5.0, 5.0)], ["x", "y"]), grid).collect()
-    assert [(round(r["i"], 6), round(r["r"], 6)) for r in got] == [(0.25, 0.25), (0.75, 0.75), (1.25, 0.5)]
-    assert geometry.grid_width(grid) == 2.0 and len(geometry.grid_perimeter(grid)) == 14
+    assert [(round(r["i"], 6), round(r["r"], 6)) for r in got] == [(0.25, 0.25), (0.75, 0.75), (round(1 + 2**0.5 / 4, 6), 0.5)]
+    assert geometry.grid_width(grid) == 4.0 and len(geometry.grid_perimeter(grid)) == 14
     assert len(geometry.grid_lines(grid)) == 9 and geometry.smooth(np.array([[0, 0], [1, 1], [2, 0.0]])).shape == (41, 2)
     assert geometry.grid_greedy(np.array([[0, 0], [0, 9.0]]), np.array([[3, 0], [3, 9.0]]), 4, 5).shape == (20, 4)
 
@@ -241,13 +241,105 @@ def test_largest_component_against_brute_force(spark):
     assert sorted(map(tuple, graph.largest_component(small).collect())) == brute(edges)
     sf = "/root/testdata/sf0.001"
     every = [tuple(r) for r in queries._edges(spark, sf).select("src", "dst").collect()]
-    assert sorted(map(tuple, queries.queries()["largest_component_all"](spark, sf).collect())) == brute(every)
+    assert sorted(map(tuple, queries.queries()["largest_component"](spark, sf).collect())) == brute(every)
 
 
 def test_zero_fill_counts_all_rows(spark):
     from beadloom import queries
 
     sf = "/root/testdata/sf0.01"
-    got = {r["group"]: r["n"] for r in queries.queries()["group_zero_fill_all"](spark, sf).collect()}
+    got = {r["group"]: r["n"] for r in queries.queries()["group_zero_fill"](spark, sf).collect()}
     assert sum(got.values()) == spark.read.parquet(f"{sf}/customer.parquet").count()
     assert sorted(got) == list(range(1, 145)) and [g for g, n in got.items() if n == 0 and g <= 120] == [] and all(got[g] == 0 for g in range(121, 145))
+
+
+def plain_peel(edges, least):
+    while True:
+        out = {}
+        for a, _ in edges:
+            out[a] = out.get(a, 0) + 1
+        left = [(a, b) for a, b in edges if out[a] >= least and out.get(b, 0) >= least]
+        if len(left) == len(edges):
+            return left
+        edges = left
+
+
+def test_peeling_against_a_plain_version(spark):
+    from beadloom import queries
+
+    rng = random.Random(22)
+    edges = sorted({(rng.randrange(60), rng.randrange(60)) for _ in range(170)})
+    df = spark.createDataFrame([(a, b, 0.5) for a, b in edges], "src bigint, dst bigint, dist double")
+    for least in (1, 2, 3, 9):
+        history = []
+        got = sorted((r["src"], r["dst"]) for r in graph.peeled(df, least, history).collect())
+        assert got == plain_peel(edges, least) and all(n > 0 for _, n in history)
+    for sf, least in (("sf0.001", 1), ("sf0.01", 5)):
+        every = [(r["src"], r["dst"]) for r in queries._edges(spark, f"/root/testdata/{sf}").collect()]
+        got = sorted((r["src"], r["dst"]) for r in queries.queries()["peel_fixpoint"](spark, f"/root/testdata/{sf}").collect())
+        assert got == sorted(plain_peel(every, least)) and 0 < len(got) < len(every)
+
+
+def test_grid_places_against_a_plain_version():
+    """A bent grid: every point by itself, after the rules in words."""
+    rng = np.random.default_rng(23)
+    a = np.array([[0, 0], [1, 4], [0, 8], [1, 12.0]])
+    grid = geometry.grid_between([a, a + [3, 0.5], a + [6, -0.5]], 5, 9)
+    g, width = geometry._square(grid), geometry.grid_width(grid)
+    assert abs(width - np.hypot(*(g[-1] - g[0]).T).mean()) < 1e-12
+    xy = rng.uniform([-0.5, 1.5], [8, 10.5], (300, 2))
+    i, r = geometry.grid_places(xy[:, 0], xy[:, 1], grid)
+    line = lambda p, u, v: abs((v[0] - u[0]) * (p[1] - u[1]) - (v[1] - u[1]) * (p[0] - u[0])) / np.hypot(*(v - u))
+    found = 0
+    for k, p in enumerate(xy):
+        cells = []
+        for ci in range(4):
+            for cr in range(8):
+                q = [g[ci, cr], g[ci + 1, cr], g[ci + 1, cr + 1], g[ci, cr + 1]]
+                cross = [(v[0] - u[0]) * (p[1] - u[1]) - (v[1] - u[1]) * (p[0] - u[0]) for u, v in zip(q, q[1:] + q[:1])]
+                if all(c > 0 for c in cross) or all(c < 0 for c in cross):
+                    cells.append((ci, cr))
+        if cells:
+            ci, cr = cells[0]
+            d1, d2 = line(p, g[ci, cr], g[ci + 1, cr]), line(p, g[ci, cr + 1], g[ci + 1, cr + 1])
+            e1, e2 = line(p, g[ci, cr], g[ci, cr + 1]), line(p, g[ci + 1, cr], g[ci + 1, cr + 1])
+            expected = ((ci * e2 + (ci + 1) * e1) / (e1 + e2) / 4, (cr * d2 + (cr + 1) * d1) / (d1 + d2) / 8)
+            found += 1
+        else:
+            side = min((0, 4), key=lambda c: min(np.hypot(*(g[c] - p).T)))
+            near = np.argsort(np.hypot(*(g[side] - p).T), kind="stable")[:2]
+            u, v = g[side][near]
+            foot = min(max(((p - u) @ (v - u)) / ((v - u) @ (v - u)), 0), 1)
+            d = np.hypot(*(u - p)) / width
+            expected = (-d if side == 0 else 1 + d, (near[0] * (1 - foot) + near[1] * foot) / 8)
+        assert abs(i[k] - expected[0]) < 1e-9 and abs(r[k] - expected[1]) < 1e-9, (k, p)
+    assert 50 < found < 290
+    with np.testing.assert_raises(ValueError):
+        geometry.grid_places(np.array([3.0]), np.array([30.0]), grid)
+
+
+def test_expansion_switch_and_indexes(spark):
+    df = spark.createDataFrame([("NAN",), ("ACG",), ("CNA",), (None,)], "s string")
+    got = [r[0] for r in df.select(dna.expand_n(F.col("s"))).collect()]
+    assert sorted(got[0]) == sorted(x + "A" + y for x in "ACGT" for y in "ACGT") and got[1:] == [["ACG"], ["CAA", "CCA", "CGA", "CTA"], None]
+    assert reads.read_switch([(5, 2), (9, 1)]) and not reads.read_switch([(1, 2)])
+    with np.testing.assert_raises(ValueError):
+        reads.read_switch([(5, 2), (1, 9)])
+    names = spark.createDataFrame([("D701",), ("N712",), ("ND701ND502",)], ["name"])
+    assert rows(bookkeeping.single_indexes(names).dropna()) == [("D701", "D701", "CGAGATCT"), ("N712", "N712", "CGAGATCT")]
+
+
+def test_stabbing_against_brute_force(spark):
+    rng = random.Random(24)
+    spans = [(rng.choice("ab"), s, s + rng.randint(-2, 40)) for s in (rng.randrange(60) for _ in range(80))]
+    pts = [(rng.choice("abc"), rng.randrange(-5, 110)) for _ in range(120)]
+    i, p = spark.createDataFrame(spans, ["k", "start", "end"]), spark.createDataFrame(pts, ["k", "pos"])
+    for b in (None, 0, 7):
+        covers = lambda k, x: sum(k == q and ((s <= x < e) if b is None else (s + b < x and x + b < e)) for q, s, e in spans)
+        assert rows(stats.stabbing_counts(p, i, "k", "pos", buffer=b)) == sorted((k, x, covers(k, x)) for k, x in pts)
+
+
+def test_thinning_has_the_right_mean_and_variance(spark):
+    for n in (20, 1000):
+        got = [r["reads"] for r in reads.thin(spark.range(4000).select("id", F.lit(n).cast("bigint").alias("reads")), 0.3, 5).collect()]
+        assert abs(np.mean(got) - 0.3 * n) < 0.02 * 0.3 * n + 0.2 and 0.8 < np.var(got) / (0.21 * n) < 1.2
