@@ -290,10 +290,14 @@ def connection_anti(spark, sf_dir):
     return reads.anti_both(e, e.groupBy("sb").count().filter("count > 30"), e.groupBy("cb").count().filter("count > 620"), "sb", "cb").select("cb", "sb", "umi")
 
 
-@query()
+@query(f"""WITH {_UMIS}, c AS (SELECT sb, count(DISTINCT cb) AS k FROM u GROUP BY sb), h AS (SELECT log10(CAST(k AS DOUBLE)) AS v, count(*) AS n FROM c GROUP BY 1), m AS (SELECT sum(n) AS total, sum(v * n) / sum(n) AS mean, min(v) AS low, max(v) AS high FROM h),
+o AS (SELECT v, sum(n) OVER (ORDER BY v) AS upto FROM h), q AS (SELECT (SELECT min(v) FROM o, m WHERE upto >= 0.25 * total) AS q1, (SELECT min(v) FROM o, m WHERE upto >= 0.75 * total) AS q3, (SELECT sqrt(sum(n * (v - mean) * (v - mean)) / greatest(max(total) - 1, 1)) FROM h, m) AS sd),
+w AS (SELECT low, high, 0.9 * CASE WHEN sd > 0 THEN least(sd, CASE WHEN q3 > q1 THEN (q3 - q1) / 1.34 ELSE sd END) ELSE 1e-9 END * pow(total, -0.2) AS width FROM m, q),
+g AS (SELECT k, low - 4 * width + k * (high - low + 8 * width) / 2047 AS x, width FROM w, (SELECT unnest(range(2048)) AS k)), d AS (SELECT k, x, sum(n * exp(-0.5 * ((x - v) / width) * ((x - v) / width))) AS y FROM g, h GROUP BY k, x),
+t AS (SELECT x AS mode FROM d ORDER BY y DESC, k LIMIT 1), s AS (SELECT mode, coalesce((SELECT sum(n * (v - mode)) / sum(n) * sqrt(pi() / 2) FROM h WHERE v > mode), 0) AS sd FROM t) SELECT round(mode, 6) AS mode, round(sd, 6) AS sd, round(pow(10, mode + 3 * sd), 4) AS cutoff FROM s""")
 def kde_cutoff(spark, sf_dir):
     e = reads.count_umis(_umis(spark, sf_dir), "cb", "sb").groupBy("sb").agg(F.count("*").alias("connections"))
-    return stats.connection_cutoff(e, "connections")
+    return stats.connection_cutoff(e, "connections").select(F.round("mode", 6).alias("mode"), F.round("sd", 6).alias("sd"), F.round("cutoff", 4).alias("cutoff"))
 
 
 @query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name) AS idx FROM customer")
@@ -613,7 +617,19 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("cb", "sb", (F.col("sb") * 7919 % 400).cast("double").alias("x"), (F.col("sb") * 104729 % 400).cast("double").alias("y"), "umi")
 
 
-@query()
+def _dbscan(least: int) -> str:
+    """SQL for cluster.clusters() of _points() at eps 40: d (cb, sb, x, y, umi, cluster)."""
+    return f"""v AS (SELECT user_id % 50 AS cb, event_id % 400 AS sb, count(*) AS umi FROM events GROUP BY 1, 2),
+pts AS (SELECT cb, sb, CAST(sb * 7919 % 400 AS DOUBLE) AS x, CAST(sb * 104729 % 400 AS DOUBLE) AS y, umi, row_number() OVER (PARTITION BY cb ORDER BY umi DESC, sb) AS o FROM v),
+near AS (SELECT a.cb, a.o AS i, b.o AS j, b.umi AS w FROM pts a JOIN pts b ON a.cb = b.cb AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 1600),
+core AS (SELECT cb, i FROM near GROUP BY cb, i HAVING sum(w) >= {least}), near_core AS (SELECT near.cb, near.i, near.j FROM near JOIN core ON core.cb = near.cb AND core.i = near.j),
+r(cb, i, c) AS (SELECT cb, i, i FROM core UNION SELECT n.cb, n.i, r.c FROM r JOIN near_core n ON n.cb = r.cb AND n.j = r.i JOIN core k ON k.cb = n.cb AND k.i = n.i),
+own AS (SELECT cb, i, min(c) AS c FROM r GROUP BY cb, i), part AS (SELECT cb, i, c FROM own UNION ALL SELECT n.cb, n.i, min(own.c) FROM near_core n JOIN own ON own.cb = n.cb AND own.i = n.j WHERE (n.cb, n.i) NOT IN (SELECT cb, i FROM core) GROUP BY n.cb, n.i),
+first AS (SELECT cb, c, min(i) AS m FROM part GROUP BY cb, c), named AS (SELECT cb, c, row_number() OVER (PARTITION BY cb ORDER BY m) AS cluster FROM first),
+d AS (SELECT p.cb, p.sb, p.x, p.y, p.umi, coalesce(named.cluster, 0) AS cluster FROM pts p LEFT JOIN part ON part.cb = p.cb AND part.i = p.o LEFT JOIN named ON named.cb = part.cb AND named.c = part.c)"""
+
+
+@query(f"WITH RECURSIVE {_dbscan(8)} SELECT cb, sb, x, y, umi, cluster FROM d")
 def dbscan_cells(spark, sf_dir):
     return cluster.clusters(_points(spark, sf_dir), 40.0, 8)
 
@@ -623,10 +639,13 @@ def minpts_bounds(spark, sf_dir):
     return cluster.cell_bounds(_points(spark, sf_dir), 40.0)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_dbscan(10)}, s AS (SELECT cb, CAST(sum(umi) AS BIGINT) AS umi, count(*) AS beads, max(cluster) AS clusters, CAST(sum(umi) FILTER (WHERE cluster = 1) AS BIGINT) AS w, sum(umi * x) FILTER (WHERE cluster = 1) AS sx, sum(umi * y) FILTER (WHERE cluster = 1) AS sy FROM d GROUP BY cb),
+q AS (SELECT d.cb, sqrt(sum(d.umi * ((x - sx / w) * (x - sx / w) + (y - sy / w) * (y - sy / w))) / sum(d.umi)) AS rmsd FROM d JOIN s ON s.cb = d.cb WHERE cluster = 1 GROUP BY d.cb)
+SELECT s.cb, umi, beads, clusters, round(CASE WHEN clusters = 1 THEN sx / w END, 6) AS x, round(CASE WHEN clusters = 1 THEN sy / w END, 6) AS y, CASE WHEN clusters = 1 THEN w END AS umi1, round(CASE WHEN clusters = 1 THEN rmsd END, 6) AS rmsd FROM s LEFT JOIN q ON q.cb = s.cb""")
 def placement(spark, sf_dir):
     p = _points(spark, sf_dir)
-    return cluster.placement(cluster.clusters(p, 40.0, 10), p)
+    placed = cluster.placement(cluster.clusters(p, 40.0, 10), p)
+    return placed.select("cb", "umi", "beads", "clusters", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "umi1", F.round("rmsd", 6).alias("rmsd"))
 
 
 @query()
@@ -825,13 +844,44 @@ def parsed_paths(spark, sf_dir):
     return bookkeeping.parsed_paths(table(spark, sf_dir, "nation").select(path.alias("path"))).select("path", "run", "file", "sample")
 
 
-@query("""WITH r AS (SELECT CAST(l_suppkey AS VARCHAR) AS cb, CAST(l_orderkey % 50 AS VARCHAR) AS ub, l_returnflag AS rname, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS strand, l_linenumber AS q FROM lineitem),
-g AS (SELECT cb, ub, rname, strand, count(*) AS reads, sum(q) AS q FROM r GROUP BY ALL), w AS (SELECT *, max(reads) OVER (PARTITION BY cb, ub) AS m, count(*) OVER (PARTITION BY cb, ub, reads) AS c FROM g)
-SELECT row_number() OVER (ORDER BY cb, ub) AS umi, cb, ub, rname, strand, reads, CAST((q + reads // 2) // reads AS BIGINT) AS mapq_avg FROM w WHERE reads = m AND c = 1""")
-def umi_consensus(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+_CONSENSUS = """r AS (SELECT CAST(l_suppkey AS VARCHAR) AS cb, CAST(l_orderkey % 50 AS VARCHAR) AS ub, l_returnflag AS rname, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS strand, l_linenumber AS q, l_partkey AS p, CAST(l_quantity AS BIGINT) AS size FROM lineitem),
+g AS (SELECT cb, ub, rname, strand, count(*) AS reads, sum(q) AS q FROM r GROUP BY ALL), w AS (SELECT *, max(reads) OVER (PARTITION BY cb, ub) AS m, count(*) OVER (PARTITION BY cb, ub, reads) AS c FROM g),
+k AS (SELECT row_number() OVER (ORDER BY cb, ub) AS umi, * FROM w WHERE reads = m AND c = 1)"""
+
+
+def _consensus(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Reads of identifiers with one observation of each kind, positions from keys; the reads' numbers are written once."""
+    p, line = F.col("l_partkey"), F.col("l_linenumber")
+    r = graph.cut(table(spark, sf_dir, "lineitem").withColumn("read", F.monotonically_increasing_id()))
     flag = F.when(F.col("l_linestatus") == "F", 16).otherwise(0)
-    data = li.select(F.monotonically_increasing_id().alias("read"), flag.alias("flag"), F.col("l_returnflag").alias("rname"), F.col("l_linenumber").alias("mapq"), F.col("l_suppkey").cast("string").alias("cb"), (F.col("l_orderkey") % 50).cast("string").alias("ub"))
-    none = lambda fields: spark.createDataFrame([], fields)
-    children = {"match": none("read bigint, start bigint, end bigint"), "snv": none("read bigint, pos bigint, ref int, alt int, qual int"), "ins": none("read bigint, pos bigint, str string"), "del": none("read bigint, pos bigint, len bigint")}
-    return variants.collapse_umis({"data": data, **children})["data"]
+    tables = {
+        "data": r.select("read", flag.alias("flag"), F.col("l_returnflag").alias("rname"), line.alias("mapq"), F.col("l_suppkey").cast("string").alias("cb"), (F.col("l_orderkey") % 50).cast("string").alias("ub")),
+        "match": r.select("read", (p % 200).alias("start"), (p % 200 + F.col("l_quantity").cast("bigint")).alias("end")),
+        "snv": r.select("read", (p % 200 + line).alias("pos"), F.lit(65).alias("ref"), (66 + line % 3).alias("alt"), (line * 10).alias("qual")),
+        "ins": r.select("read", (p * 7 % 200).alias("pos"), F.col("l_returnflag").alias("str")),
+        "del": r.select("read", (p * 11 % 200).alias("pos"), line.alias("len")),
+    }
+    return variants.collapse_umis(tables)
+
+
+@query(f"WITH {_CONSENSUS} SELECT umi, cb, ub, rname, strand, reads, CAST((q + reads // 2) // reads AS BIGINT) AS mapq_avg FROM k")
+def umi_consensus(spark, sf_dir):
+    return _consensus(spark, sf_dir)["data"]
+
+
+@query(f"""WITH {_CONSENSUS}, o AS (SELECT k.umi, r.p, r.q, r.size, r.rname FROM r JOIN k USING (cb, ub, rname, strand)), s AS (SELECT umi, p % 200 AS a, p % 200 + size AS b FROM o),
+e AS (SELECT *, max(b) OVER (PARTITION BY umi ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s), i AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY umi ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS n FROM e),
+snv AS (SELECT umi, p % 200 + q AS pos, 66 + q % 3 AS alt, count(*) FILTER (WHERE q * 10 > 30) AS hq, count(*) FILTER (WHERE q * 10 <= 30) AS lq FROM o GROUP BY ALL),
+obs AS (SELECT 'ins' AS kind, umi, p * 7 % 200 AS pos, rname AS item, count(*) AS n FROM o GROUP BY ALL UNION ALL SELECT 'del', umi, p * 11 % 200, CAST(q AS VARCHAR), count(*) FROM o GROUP BY ALL),
+near AS (SELECT kind, obs.umi, pos, item, n, count(s.umi) FILTER (WHERE a < pos AND pos < b) AS every, count(s.umi) FILTER (WHERE a + 15 < pos AND pos + 15 < b) AS far FROM obs LEFT JOIN s ON s.umi = obs.umi GROUP BY ALL)
+SELECT 'match' AS kind, umi, min(a) AS pos, CAST(max(b) AS VARCHAR) AS item, 0 AS x, 0 AS y, 0 AS z FROM i GROUP BY umi, n
+UNION ALL SELECT 'snv', snv.umi, pos, CAST(alt AS VARCHAR), any_value(hq), any_value(lq), count(s.umi) FROM snv LEFT JOIN s ON s.umi = snv.umi AND a <= pos AND pos < b GROUP BY snv.umi, pos, alt
+UNION ALL SELECT kind, umi, pos, item, n, every - far, far FROM near""")
+def umi_children(spark, sf_dir):
+    """Merged matches, and substitutions, insertions and deletions with their observations and covering matches."""
+    t = _consensus(spark, sf_dir)
+    row = lambda df, kind, pos, item, x, y, z: df.select(F.lit(kind).alias("kind"), "umi", F.col(pos).cast("bigint").alias("pos"), F.col(item).cast("string").alias("item"), *(c.cast("bigint").alias(n) for c, n in zip((x, y, z), "xyz", strict=True)))
+    out = row(t["match"], "match", "start", "end", F.lit(0), F.lit(0), F.lit(0)).unionByName(row(t["snv"], "snv", "pos", "alt", F.col("hq"), F.col("lq"), F.col("covers")))
+    for kind, item in (("ins", "str"), ("del", "len")):
+        out = out.unionByName(row(t[kind], kind, "pos", item, F.col("obs"), F.col("lq"), F.col("hq")))
+    return out
