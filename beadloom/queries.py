@@ -533,10 +533,10 @@ def symmetrize(spark, sf_dir):
 
 @query(f"""WITH {_PAIRS}, b AS (SELECT src AS id, dst AS other, w FROM p UNION ALL SELECT dst, src, w FROM p), d AS (SELECT id, count(*) AS degree, sum(w) AS strength, 1 - max(w) AS nearest, 1 - min(w) AS furthest FROM b GROUP BY id),
 t AS (SELECT x.id, count(*) AS n, sum(x.w + y.w) AS w FROM b x JOIN b y ON x.id = y.id AND x.other < y.other JOIN p ON p.src = x.other AND p.dst = y.other GROUP BY x.id)
-SELECT d.id, degree, round(strength, 6) AS strength, coalesce(n, 0) AS triangles, round(CASE WHEN degree > 1 THEN 2.0 * coalesce(n, 0) / (degree * (degree - 1)) ELSE 0 END, 6) AS clustering, round(CASE WHEN degree > 1 THEN coalesce(t.w, 0) / (strength * (degree - 1)) ELSE 0 END, 6) AS weighted, round(nearest, 6) AS nearest, round(furthest, 6) AS furthest FROM d LEFT JOIN t ON t.id = d.id""")
+SELECT d.id, degree, round(strength, 6) AS strength, coalesce(n, 0) AS triangles, round(CASE WHEN degree > 1 THEN 2.0 * coalesce(n, 0) / (degree * (degree - 1)) ELSE 0 END, 6) AS clustering, round(round(CASE WHEN degree > 1 THEN coalesce(t.w, 0) / (strength * (degree - 1)) ELSE 0 END, 9), 6) AS weighted, round(nearest, 6) AS nearest, round(furthest, 6) AS furthest FROM d LEFT JOIN t ON t.id = d.id""")
 def graph_stats(spark, sf_dir):
     m = graph.node_metrics(graph.undirected(_edges(spark, sf_dir)))
-    return m.select("id", "degree", F.round("strength", 6).alias("strength"), "triangles", *(F.round(c, 6).alias(c) for c in ("clustering", "weighted", "nearest", "furthest")))
+    return m.select("id", "degree", F.round("strength", 6).alias("strength"), "triangles", *(F.round(c, 6).alias(c) for c in ("clustering", "nearest", "furthest")), F.round(F.round("weighted", 9), 6).alias("weighted"))
 
 
 @query(f"""WITH {_PAIRS}, b AS (SELECT src AS i, dst AS j, w FROM p UNION ALL SELECT dst, src, w FROM p), q AS (SELECT i, j, w / sum(w) OVER (PARTITION BY i) AS p FROM b), v AS (SELECT x.i, y.j, sum(x.p * y.p) AS p FROM q x JOIN q y ON x.j = y.i GROUP BY 1, 2)
