@@ -11,6 +11,8 @@ from beadloom.operators.stats import interval_union, stabbing_counts
 
 #: Base quality above which an observation is high, and bases that a covering match must reach beyond.
 QUALITY, BUFFER = 30, 15
+#: Bases of the reference in a row.
+BIN = 65_536
 
 
 def cigar_walk(records: DataFrame) -> DataFrame:
@@ -35,9 +37,15 @@ def scrape(records: DataFrame, reference: DataFrame) -> dict[str, DataFrame]:
     walk = cigar_walk(records).join(records.select("read", "rname", "seq", "qual"), "read")
     at = lambda op: walk.filter(F.col("op") == op)
     text = F.expr("substring(seq, int(qpos + 1), int(len))")
-    bases = at("M").join(reference.select("rname", F.col("seq").alias("_ref")), "rname").withColumn("_i", F.explode(F.sequence(F.lit(0), (F.col("len") - 1).cast("int"))))
-    ref, alt = F.expr("ascii(substring(_ref, int(rpos + _i + 1), 1))"), F.expr("ascii(substring(seq, int(qpos + _i + 1), 1))")
-    snv = bases.select("read", (F.col("rpos") + F.col("_i")).alias("pos"), ref.alias("ref"), alt.alias("alt"), F.get("qual", (F.col("qpos") + F.col("_i")).cast("int")).alias("qual")).filter("ref <> alt")
+    # stretches of at most BIN bases against a row of the reference each; only those that differ are looked at by base
+    bins = reference.select("rname", "seq", F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(BIN))).alias("_at"))
+    bins = bins.select("rname", F.col("_at").cast("bigint").alias("_at"), F.substr("seq", F.col("_at") + 1, F.lit(BIN)).alias("_ref"))
+    low, high = F.floor(F.col("rpos") / BIN) * BIN, F.floor((F.col("rpos") + F.col("len") - 1) / BIN) * BIN
+    met = at("M").filter("len > 0").withColumn("_at", F.explode(F.sequence(low, high, F.lit(BIN).cast("bigint")))).join(bins, ["rname", "_at"])
+    met = met.withColumn("_from", F.greatest("rpos", "_at")).withColumn("_n", F.least(F.col("rpos") + F.col("len"), F.col("_at") + BIN) - F.col("_from"))
+    met = met.select("read", "qual", "_from", (F.col("qpos") + F.col("_from") - F.col("rpos")).alias("_q"), "_n", F.expr("substring(_ref, int(_from - _at + 1), int(_n))").alias("_ref"), F.expr("substring(seq, int(qpos + _from - rpos + 1), int(_n))").alias("_own")).filter("_ref <> _own")
+    off = F.filter(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")), lambda i: F.substr("_ref", i + 1, F.lit(1)) != F.substr("_own", i + 1, F.lit(1)))
+    snv = met.withColumn("_i", F.explode(off)).select("read", (F.col("_from") + F.col("_i")).alias("pos"), F.expr("ascii(substring(_ref, _i + 1, 1))").alias("ref"), F.expr("ascii(substring(_own, _i + 1, 1))").alias("alt"), F.get("qual", (F.col("_q") + F.col("_i")).cast("int")).alias("qual"))
     strings = {k: at(op).select("read", F.col("rpos").alias("pos"), text.alias("str")) for k, op in (("ins", "I"), ("softclip", "S"))}
     lengths = {k: at(op).select("read", F.col("rpos").alias("pos"), "len") for k, op in (("del", "D"), ("refskip", "N"))}
     return {"match": at("M").select("read", F.col("rpos").alias("start"), (F.col("rpos") + F.col("len")).alias("end")), "snv": snv, **strings, **lengths}

@@ -343,3 +343,21 @@ def test_thinning_has_the_right_mean_and_variance(spark):
     for n in (20, 1000):
         got = [r["reads"] for r in reads.thin(spark.range(4000).select("id", F.lit(n).cast("bigint").alias("reads")), 0.3, 5).collect()]
         assert abs(np.mean(got) - 0.3 * n) < 0.02 * 0.3 * n + 0.2 and 0.8 < np.var(got) / (0.21 * n) < 1.2
+
+
+def test_substitutions_against_a_plain_walk(spark, monkeypatch):
+    rng = random.Random(26)
+    ref = {n: mer(rng, 300) for n in ("chr1", "chr2")}
+    records, expected = [], []
+    for k in range(60):
+        name, pos, a, gap, b = rng.choice(list(ref)), rng.randrange(200), rng.randint(1, 40), rng.randint(1, 5), rng.randint(1, 40)
+        seq = "".join(c if rng.random() < 0.9 else rng.choice("ACGTN") for c in ref[name][pos : pos + a] + ref[name][pos + a + gap : pos + a + gap + b])
+        records.append((k, name, pos, f"{a}M{gap}D{b}M", seq, list(range(len(seq)))))
+        for q, c in enumerate(seq):
+            r = pos + q + (gap if q >= a else 0)
+            if ref[name][r] != c:
+                expected.append((k, r, ord(ref[name][r]), ord(c), q))
+    df = spark.createDataFrame(records, "read bigint, rname string, pos bigint, cigar string, seq string, qual array<int>")
+    for size in (65_536, 16):
+        monkeypatch.setattr(variants, "BIN", size)
+        assert rows(variants.scrape(df, spark.createDataFrame(list(ref.items()), ["rname", "seq"]))["snv"]) == sorted(expected)
