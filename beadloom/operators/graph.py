@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from beadloom.functions.text import clip01
 
 #: Vectors of a shard of a product, vectors that are asked of it at a time, and entries of a matrix at most.
 SHARD_ROWS, QUERY_ROWS, DENSE = 32_768, 1024, 1 << 24
+#: Nodes whose degree is broadcast, and pairs that may close triangles up to which these are.
+HEAVY, CLOSING = 1 << 17, 1 << 20
 
 
 def set_checkpoints(spark: SparkSession) -> None:
@@ -37,6 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written as a table among the checkpoints: smaller than cut(), and Spark knows its size when it plans joins."""
+    spark = df.sparkSession
+    set_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def log_normalised(df: DataFrame, row: str, column: str, n: str) -> DataFrame:
     """(row, column, w): log1p of counts, every row scaled to length 1; zeros are left out."""
     w = F.log1p(F.col(n).cast("double"))
@@ -251,13 +263,45 @@ def node_metrics(pairs: DataFrame) -> DataFrame:
 
 
 def constraint(pairs: DataFrame) -> DataFrame:
-    """(id, constraint): Burt's constraint, the sum over neighbours j of (p_ij + sum over q of p_iq p_qj)^2."""
-    both = pairs.select(F.col("src").alias("i"), F.col("dst").alias("j"), "w").unionByName(pairs.select(F.col("dst").alias("i"), F.col("src").alias("j"), "w"))
-    p = both.select("i", "j", (F.col("w") / F.sum("w").over(Window.partitionBy("i"))).alias("p"))
-    via = p.join(p.select(F.col("i").alias("j"), F.col("j").alias("k"), F.col("p").alias("p2")), "j").filter("i <> k").select("i", F.col("k").alias("j"), (F.col("p") * F.col("p2")).alias("p"))
-    near = p.select("i", "j")
-    total = p.unionByName(via.join(near, ["i", "j"], "left_semi")).groupBy("i", "j").agg(F.sum("p").alias("p"))
-    return total.groupBy(F.col("i").alias("id")).agg(F.sum(F.col("p") * F.col("p")).alias("constraint"))
+    """(id, constraint): Burt's constraint, the sum over neighbours j of (p_ij + sum over q of p_iq p_qj)^2.
+
+    Of undirected pairs (src < dst, w). A path i, q, j counts only where i and j are linked, so triangles are all that's
+    needed: each is found once, from the end that comes first by (degree, id), and adds t = w_iq w_qj / strength_q to
+    its three edges. Then strength_i^2 * constraint_i is the sum of (w_ij + t_ij)^2, of which w_ij^2 is summed
+    beforehand. Degrees count for the HEAVY greatest only, the rest are ordered by id: that leaves the order total, and
+    any order gives the same triangles. Null where a node's weights sum to 0.
+    """
+    p = written(pairs.select("src", "dst", "w"))
+    ends = p.select(F.explode(F.array(F.struct(F.col("src").alias("id"), "w"), F.struct(F.col("dst").alias("id"), "w"))).alias("e")).select("e.id", "e.w")
+    base = written(ends.groupBy("id").agg(F.count("*").alias("degree"), F.sum("w").alias("strength"), F.sum(F.col("w") * F.col("w")).alias("squares")))
+    # a row a distinct degree, of which there are fewer than twice the root of the number of edges
+    least, nodes = 0, 0
+    for degree, n in sorted((tuple(r) for r in base.groupBy("degree").count().collect()), reverse=True):
+        nodes += n
+        if nodes > HEAVY:
+            least = degree
+            break
+    heavy = base.filter(F.col("degree") > least)
+    rank = lambda end: F.struct(F.coalesce(f"_{end}", F.lit(0)), end)
+    up = p
+    for end in ("src", "dst"):
+        up = up.join(F.broadcast(heavy.select(F.col("id").alias(end), F.col("degree").alias(f"_{end}"))), end, "left")  # HEAVY rows at most
+    low = rank("src") < rank("dst")
+    up = up.select(F.when(low, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(low, F.col("dst")).otherwise(F.col("src")).alias("b"), F.col("w").alias("ab"))
+    # a pair can close a triangle only if its lower end is the upper end of another
+    upper = written(up.select(F.col("b").alias("a")).distinct())
+    closing = up.join(upper, "a", "left_semi").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("c"), F.col("ab").alias("bc"))
+    for end in "bc":
+        closing = closing.join(base.select(F.col("id").alias(end), F.col("strength").alias(f"s{end}")), end)
+    closing = written(closing)
+    if closing.count() <= CLOSING:
+        closing = F.broadcast(closing)
+    wedge = up.join(up.select("a", F.col("b").alias("c"), F.col("ab").alias("ac")), "a").filter("b < c").join(base.select(F.col("id").alias("a"), F.col("strength").alias("sa")), "a")
+    edge = lambda x, y, w, v1, v2, s: F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), F.col(w).alias("w"), F.try_divide(F.col(v1) * F.col(v2), F.col(s)).alias("t"))
+    tri = wedge.join(closing, ["b", "c"]).select(F.explode(F.array(edge("a", "b", "ab", "ac", "bc", "sc"), edge("a", "c", "ac", "ab", "bc", "sb"), edge("b", "c", "bc", "ab", "ac", "sa"))).alias("e"))
+    more = tri.groupBy("e.x", "e.y").agg(F.max("e.w").alias("w"), F.sum("e.t").alias("t")).select(F.explode(F.array("x", "y")).alias("id"), ((2 * F.col("w") + F.col("t")) * F.col("t")).alias("more"))
+    out = base.join(more.groupBy("id").agg(F.sum("more").alias("more")), "id", "left")
+    return out.select("id", F.try_divide(F.col("squares") + F.coalesce("more", F.lit(0.0)), F.col("strength") * F.col("strength")).alias("constraint"))
 
 
 def contracted(edges: DataFrame, membership: DataFrame, w: str = "w") -> DataFrame:
