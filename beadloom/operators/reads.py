@@ -50,16 +50,40 @@ def read_switch(hits: list[tuple[int, int]]) -> bool:
     return switched.pop()
 
 
+def _v10_barcodes(reads: DataFrame, seq: str) -> DataFrame:
+    """(first, second, n): halves of the barcodes of reads with the exact V10 site; reads are cut to their first 32 bases."""
+    r = F.substring(seq, 1, 32)
+    return reads.filter(F.substring(r, 9, 18) == dna.UP_LONG).groupBy(F.substring(r, 1, 8).alias("first"), F.substring(r, 27, 7).alias("second")).agg(F.count("*").alias("n"))
+
+
+def _rates(hit: DataFrame, own: DataFrame) -> DataFrame:
+    total = own.agg(F.sum("n").alias("total"))  # one row
+    return hit.join(F.broadcast(total)).select("puck", F.round(F.try_divide(F.col("n") * 100, F.col("total")), 2).alias("pct"))
+
+
 def puck_hit_rates(reads: DataFrame, pucks: DataFrame, seq: str = "r2") -> DataFrame:
     """(puck, pct): per cent, to two places, of reads with the exact V10 site whose barcode each of pucks (puck, sb) has.
 
     Fixed values: reads are cut to their first 32 bases, which leaves barcodes of 14.
     """
-    r = F.substring(seq, 1, 32)
-    own = reads.filter(F.substring(r, 9, 18) == dna.UP_LONG).groupBy(F.concat(F.substring(r, 1, 8), F.substring(r, 27, 7)).alias("sb")).agg(F.count("*").alias("n"))
+    own = _v10_barcodes(reads, seq).select(F.concat("first", "second").alias("sb"), "n")
     hit = pucks.select("puck", "sb").distinct().join(own, "sb", "left").groupBy("puck").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    total = own.agg(F.sum("n").alias("total"))  # one row
-    return hit.join(F.broadcast(total)).select("puck", F.round(F.try_divide(F.col("n") * 100, F.col("total")), 2).alias("pct"))
+    return _rates(hit, own)
+
+
+def puck_hit_rates_of_halves(reads: DataFrame, firsts: DataFrame, seconds: DataFrame, seq: str = "r2") -> DataFrame:
+    """puck_hit_rates() for pucks that have every first half of a set with every second half of the same set.
+
+    firsts (puck, set, first; 8 bases) and seconds (puck, set, second) aren't expanded into barcodes: a read's barcode is
+    in the pucks of the sets that its two halves share. Pucks without a barcode are left out.
+    """
+    sets = lambda df, half: df.groupBy(half).agg(F.collect_set(F.struct("puck", "set")).alias(f"_{half}"))
+    own = _v10_barcodes(reads, seq)
+    shared = own.join(sets(firsts, "first"), "first").join(sets(seconds, "second"), "second").select("n", F.array_intersect("_first", "_second").alias("s"))
+    found = shared.select("n", F.explode(F.array_distinct(F.transform("s", lambda x: x["puck"]))).alias("puck")).groupBy("puck").agg(F.sum("n").alias("n"))
+    known = firsts.select("puck", "set").distinct().join(seconds.select("puck", "set").distinct(), ["puck", "set"], "left_semi").select("puck").distinct()
+    hit = known.join(found, "puck", "left").select("puck", F.coalesce("n", F.lit(0)).alias("n"))
+    return _rates(hit, own)
 
 
 def whitelist_union(*lists: DataFrame, column: str = "cb") -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beadloom import queries
-from beadloom.operators import graph
+from beadloom.operators import graph, reads
 
 
 def most_rows(df):
@@ -61,3 +61,30 @@ def test_constraint_opens_no_pairs_of_a_hub(spark):
 def test_constraint_of_weightless_nodes(spark):
     got = dict(graph.constraint(spark.createDataFrame([(1, 2, 0.0), (3, 4, 1.0)], "src bigint, dst bigint, w double")).collect())
     assert got == {1: None, 2: None, 3: 1.0, 4: 1.0}
+
+
+def test_hit_rates_of_halves_equal_those_of_barcodes(spark):
+    site, rng = "TCTTCAGCGTTCCCGAGA", random.Random(5)
+    word = lambda n: "".join(rng.choice("AC") for _ in range(n))
+    firsts = [(k % 3, k % 2, word(8)) for k in range(60)] + [(7, 0, "GGGGGGGG"), (8, 0, word(8))]
+    seconds = [(k % 3, k % 2, word(6)) for k in range(30)] + [(7, 0, "TTTTTT"), (9, 0, word(6))]
+    seqs = [(word(8) + (site if k % 4 else "A" * 18) + word(7),) for k in range(3000)]
+    r = spark.createDataFrame(seqs, "r2 string")
+    f, s = spark.createDataFrame(firsts, "puck int, set int, first string"), spark.createDataFrame(seconds, "puck int, set int, second string")
+    pucks = f.join(s, ["puck", "set"]).select("puck", F.concat("first", "second").alias("sb"))
+    want = sorted(reads.puck_hit_rates(r, pucks).collect())
+    assert sorted(reads.puck_hit_rates_of_halves(r, f, s).collect()) == want
+    assert dict(want)[7] == 0 and len(want) == 4 and dict(want)[0] > 0
+
+
+def test_hit_rates_query_makes_no_pairs_of_halves(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql(f"COPY (SELECT r AS p_partkey FROM range(9000) t(r)) TO '{tmp_path}/part.parquet'")
+    con.sql(f"COPY (SELECT r AS s_suppkey FROM range(3000) t(r)) TO '{tmp_path}/supplier.parquet'")
+    con.sql(f"COPY (SELECT r AS l_orderkey, r * 7 % 9000 AS l_partkey, r % 3000 AS l_suppkey FROM range(9000) t(r)) TO '{tmp_path}/lineitem.parquet'")
+    for t in ("part", "supplier", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    rows, most = most_rows(queries.queries()["puck_hit_rates"](spark, str(tmp_path)))
+    want = con.sql(queries.oracle_sql()["puck_hit_rates"]).fetchall()
+    assert sorted(tuple(r) for r in rows) == sorted(want)
+    assert most <= 9000
