@@ -79,7 +79,8 @@ def puck_hit_rates_of_halves(reads: DataFrame, firsts: DataFrame, seconds: DataF
     """
     sets = lambda df, half: df.groupBy(half).agg(F.collect_set(F.struct("puck", "set")).alias(f"_{half}"))
     own = _v10_barcodes(reads, seq)
-    shared = own.join(sets(firsts, "first"), "first").join(sets(seconds, "second"), "second").select("n", F.array_intersect("_first", "_second").alias("s"))
+    # left joins, as inner ones would filter own for nulls and so have it computed once more for the total
+    shared = own.join(sets(firsts, "first"), "first", "left").join(sets(seconds, "second"), "second", "left").select("n", F.array_intersect("_first", "_second").alias("s"))
     found = shared.select("n", F.explode(F.array_distinct(F.transform("s", lambda x: x["puck"]))).alias("puck")).groupBy("puck").agg(F.sum("n").alias("n"))
     known = firsts.select("puck", "set").distinct().join(seconds.select("puck", "set").distinct(), ["puck", "set"], "left_semi").select("puck").distinct()
     hit = known.join(found, "puck", "left").select("puck", F.coalesce("n", F.lit(0)).alias("n"))
