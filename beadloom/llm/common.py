@@ -142,17 +142,22 @@ def in_all_pieces(df: DataFrame, key: str, hot: DataFrame, piece: str = "p") ->
     return dealt.withColumn(piece, F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1))).drop("k")
 
 
+def give_back() -> None:
+    """Gives what this process no longer uses of its memory back to the machine."""
+    from beadloom.llm import words
+
+    words.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, giving its memory back to the machine at its end: workers live on idle while later stages need memory."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        from beadloom.llm import words
-
-        words.forget()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()
 
     return wrapped

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.llm import words
-from beadloom.llm.common import bounded, part, read, sampled, slices
+from beadloom.llm.common import bounded, give_back, part, read, sampled, slices
 
 #: Bounds of the training sample: confirmed toxic and unlabelled documents, and characters beyond which a document is
 #: picked the more seldom the longer it is, so that their total is bounded as well.
@@ -35,6 +35,8 @@ STEPS, ORDER_STEPS, RATE = 90, 40, 0.1
 ASSUMED, ASSUMED_AS, FOLDS = 0.1, 40, 2
 #: Bits of the table that tells features of one text, which no step could move, from others.
 SEEN_BITS = 24
+#: Pairs (text, feature) that a sum takes at a time.
+PAIRS = 1 << 16
 THRESHOLD = 0.3
 
 
@@ -102,32 +104,65 @@ class Sample:
             at, times = np.unique((h >> np.uint64(64 - SEEN_BITS)).astype(np.uint32), return_counts=True)
             seen[at] = np.minimum(seen[at] + times, 2)
 
-    def kept(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pairs of features that more than one text has (or a few others, by equal bits)."""
-        out = []
-        for text, h, kind in self.parts:
+    def keep(self, seen: np.ndarray) -> None:
+        """Drops the pairs of features that only one text has (all but a few, by equal bits), a part at a time."""
+        for k, (text, h, kind) in enumerate(self.parts):
             on = seen[h >> np.uint64(64 - SEEN_BITS)] > 1
-            out.append((text[on], h[on], kind[on]))
-        self.parts = []
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.int8))
+            self.parts[k] = text[on], h[on], kind[on]
+
+    def columns(self, names: np.ndarray) -> Columns:
+        """The pairs with features as places in names; the parts go as they are turned."""
+        rows, features = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        self.parts.reverse()
+        while self.parts:
+            text, h, _ = self.parts.pop()
+            rows.append(text)
+            features.append(np.searchsorted(names, h).astype(np.int32))
+        return Columns(np.concatenate(rows), np.concatenate(features), self.n, len(names))
+
+
+def named(samples: Iterable[Sample]) -> tuple[np.ndarray, np.ndarray]:
+    """(names, kind): the distinct features of all samples in order, merged a part at a time."""
+    names, kind = np.empty(0, np.uint64), np.empty(0, np.int8)
+    for sample in samples:
+        for _, h, kinds in sample.parts:
+            fresh, first = np.unique(h, return_index=True)
+            names, at = np.unique(np.concatenate([names, fresh]), return_index=True)
+            kind = np.concatenate([kind, kinds[first]])[at]
+    return names, kind
 
 
 class Columns:
-    """Pairs (row, feature number) of one sample, for sums over rows and over features."""
+    """Pairs (row, feature number) of one sample as 32-bit numbers, for sums over rows and over features.
+
+    Sums take PAIRS pairs at a time, in their order, so that no array of 64-bit numbers is as long as the pairs.
+    """
 
     def __init__(self, row: np.ndarray, feature: np.ndarray, rows: int, width: int):
         self.row, self.feature, self.rows, self.width = row, feature, rows, width
 
     def sums(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.feature], self.rows)
+        return _added(np.zeros(self.rows), self.row, weights, self.feature)
 
     def gradient(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.feature, g[self.row], self.width)
+        return _added(np.zeros(self.width), self.feature, g, self.row)
+
+    def counts(self) -> np.ndarray:
+        """Rows of each feature."""
+        return _added(np.zeros(self.width, np.int64), self.feature, np.ones(1, np.int64))
 
     def of(self, rows: np.ndarray, features: np.ndarray) -> Columns:
         """Those of the chosen rows and features (booleans), numbered anew."""
         on = rows[self.row] & features[self.feature]
-        return Columns((np.cumsum(rows) - 1)[self.row[on]], (np.cumsum(features) - 1)[self.feature[on]], int(rows.sum()), int(features.sum()))
+        row, feature = np.cumsum(rows, dtype=np.int32) - np.int32(1), np.cumsum(features, dtype=np.int32) - np.int32(1)
+        return Columns(row[self.row[on]], feature[self.feature[on]], int(rows.sum()), int(features.sum()))
+
+
+def _added(out: np.ndarray, at: np.ndarray, values: np.ndarray, of: np.ndarray | None = None) -> np.ndarray:
+    """out with values[of[k]] added at at[k], for one k after another; without of the only value."""
+    for k in range(0, len(at), PAIRS):
+        np.add.at(out, at[k : k + PAIRS].astype(np.intp), values[0] if of is None else np.take(values, of[k : k + PAIRS]))
+    return out
 
 
 def chance(rate: np.ndarray, n: int, log_odds: float) -> np.ndarray:
@@ -214,7 +249,7 @@ def prior_of(s_p: np.ndarray, s_u: np.ndarray) -> float:
 
 def _penalties(p: Columns, u: Columns) -> np.ndarray:
     """A weight's penalty for each feature, for a prior of 1."""
-    rate = (np.bincount(u.feature, minlength=u.width) + 0.5) / max(1, u.rows)
+    rate = (u.counts() + 0.5) / max(1, u.rows)
     share = PENALTY[0] + (PENALTY[1] - PENALTY[0]) * min(1.0, PENALTY[2] / max(1, p.rows))
     return share * chance(rate, p.rows, math.log(max(2, p.width)))
 
@@ -222,7 +257,7 @@ def _penalties(p: Columns, u: Columns) -> np.ndarray:
 def _fit(p: Columns, u: Columns, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """nnpu() without the features that can never leave zero; their weights are 0."""
     penalty = prior * _penalties(p, u)
-    can = (prior * np.bincount(p.feature, minlength=p.width) / p.rows > penalty) | (np.bincount(u.feature, minlength=u.width) / u.rows > penalty)
+    can = (prior * p.counts() / p.rows > penalty) | (u.counts() / u.rows > penalty)
     all_p, all_u, w = np.ones(p.rows, bool), np.ones(u.rows, bool), np.zeros(p.width)
     w[can], b = nnpu(p.of(all_p, can), u.of(all_u, can), prior, penalty[can], steps)
     return w, b
@@ -252,22 +287,20 @@ def train(toxic: Iterable[str], unlabelled: Iterable[str], prior: float | None =
     seen = np.zeros(1 << SEEN_BITS, np.uint8)
     toxic.counted(seen)
     unlabelled.counted(seen)
-    (row_p, h_p, kind_p), (row_u, h_u, kind_u) = toxic.kept(seen), unlabelled.kept(seen)
+    toxic.keep(seen)
+    unlabelled.keep(seen)
     del seen
-    names, first, number = np.unique(np.concatenate([h_p, h_u]), return_index=True, return_inverse=True)
-    kind = np.concatenate([kind_p, kind_u])[first]
-    del h_p, h_u, kind_p, kind_u, first
-    number = number.astype(np.int32)
-    p, u = Columns(row_p, number[: len(row_p)], toxic.n, len(names)), Columns(row_u, number[len(row_p) :], unlabelled.n, len(names))
+    names, kind = named((toxic, unlabelled))
+    p, u = toxic.columns(names), unlabelled.columns(names)
     alike = np.zeros(len(names), np.uint64)  # a sum of random numbers of its texts tells a feature's texts
     random = words.mix(np.arange(1, toxic.n + unlabelled.n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for columns, shift in ((p, 0), (u, toxic.n)):
-        np.add.at(alike, columns.feature, random[columns.row + shift])
+        _added(alike, columns.feature, random[shift:], columns.row)
     by = np.lexsort((names, -kind, alike))
     stands = np.zeros(len(names), bool)
     stands[by[np.append(True, alike[by][1:] != alike[by][:-1])[: len(by)]]] = True
-    every = np.ones(p.rows, bool), np.ones(u.rows, bool)
-    p, u, names = p.of(every[0], stands), u.of(every[1], stands), names[stands]
+    p = p.of(np.ones(p.rows, bool), stands)
+    u, names = u.of(np.ones(u.rows, bool), stands), names[stands]
     if prior is None:
         prior = prior_of(*_held_out(p, u, ASSUMED, ORDER_STEPS))
     w, b = _fit(p, u, prior)
@@ -291,7 +324,9 @@ def train_on(docs: DataFrame, labels: DataFrame, prior: float | None = None, tox
     picked = F.broadcast(sampled(labels, min(1.0, toxic_docs / n), "doc_id").limit(2 * toxic_docs))
     toxic = bounded(docs.join(picked, "doc_id"), max_chars)
     rest = bounded(sampled(docs, min(1.0, unlabelled_docs / max(1, docs.count())), "doc_id", seed=12), max_chars)
-    return train(_texts(toxic), _texts(rest), prior)
+    model = train(_texts(toxic), _texts(rest), prior)
+    give_back()
+    return model
 
 
 def _texts(df: DataFrame) -> Iterator[str]:

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -297,3 +298,26 @@ def test_risk_estimator_stays_non_negative():
             assert abs((toxicity.risk(*more, 0.2)[0] - value) / 1e-6 - d[k]) < 1e-5
     value, d_p, d_u = toxicity.risk(np.full(6, 9.0), np.full(9, -9.0), 0.2)
     assert value < 1e-3 and (d_p > 0).all() and (d_u < 0).all()
+
+
+def test_toxicity_sums_by_pieces_equal_whole_ones(monkeypatch):
+    monkeypatch.setattr(toxicity, "PAIRS", 7)
+    rng = np.random.default_rng(4)
+    row, feature = np.sort(rng.integers(0, 20, 500)).astype(np.int32), rng.integers(0, 30, 500).astype(np.int32)
+    w, g, c = rng.normal(size=31), rng.normal(size=21), toxicity.Columns(row, feature, 21, 31)
+    assert (c.sums(w) == np.bincount(row, w[feature], 21)).all() and (c.gradient(g) == np.bincount(feature, g[row], 31)).all()
+    assert (c.counts() == np.bincount(feature, minlength=31)).all()
+
+
+def test_toxicity_training_takes_few_bytes_a_pair(monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    rng = random.Random(3)
+    pool = ["".join(rng.choices("abcdefghij", k=8)) for _ in range(5000)]
+    texts = [" ".join(rng.sample(pool, 1000)) for _ in range(600)]
+    tracemalloc.start()
+    try:
+        assert toxicity.train(texts[:200], texts, 0.1).features.size
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 45 * sum(len(toxicity.text_features(part)[0]) for part in (texts[:200], texts))
