@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beadloom import queries
-from beadloom.operators import graph, reads
+from beadloom.operators import graph, reads, stats
 
 
 def most_rows(df):
@@ -88,3 +88,18 @@ def test_hit_rates_query_makes_no_pairs_of_halves(spark, tmp_path):
     want = con.sql(queries.oracle_sql()["puck_hit_rates"]).fetchall()
     assert sorted(tuple(r) for r in rows) == sorted(want)
     assert most <= 9000
+
+
+def test_interval_union_of_repeated_intervals(spark):
+    rng = random.Random(9)
+    some = [(k, a := rng.randint(0, 200), a + rng.randint(1, 20)) for k in range(40) for _ in range(8)]
+    want = []
+    for k, a, b in sorted(set(some)):
+        if want and want[-1][0] == k and a <= want[-1][2]:
+            want[-1] = (k, want[-1][1], max(b, want[-1][2]))
+        else:
+            want.append((k, a, b))
+    repeated = [x for x in some for _ in range(rng.randint(1, 10))]
+    rng.shuffle(repeated)
+    got = stats.interval_union(spark.createDataFrame(repeated, "umi bigint, start bigint, end bigint").repartition(7), "umi")
+    assert sorted(map(tuple, got.collect())) == want
